@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+from typing import TypeVar
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,16 +13,32 @@ from tokenloom.functions.rollout import concat_prompt_response, length_reward, r
 from tokenloom.functions.text import BYTE_OFFSET, add_bos_eos, byte_tokenize
 from tokenloom.operators import packing, rollouts, scoring
 from tokenloom.operators.corpus import pretokenize_bytes
-from tokenloom.plans.lookups import lookup
 from tokenloom.plans.running import ordered_position
 from tokenloom.plans.session import spread_small
 from tokenloom.plans.staging import staged
 from tokenloom.sources.shards import with_shard_ids
 
+T = TypeVar("T")
 LENGTH = 256
 BYTE_VOCAB = BYTE_OFFSET + 256
 
 
+_derived: dict[tuple[str, str, str], object] = {}
+
+
+def derived(fn: Callable[[SparkSession, str], T]) -> Callable[[SparkSession, str], T]:
+    """Derive an input once per session and data folder; several queries read the table that was written."""
+
+    @functools.wraps(fn)
+    def get(spark: SparkSession, sf: str) -> T:
+        key = (spark.sparkContext.applicationId, sf, fn.__name__)
+        if key not in _derived:
+            _derived[key] = fn(spark, sf)
+        return _derived[key]
+
+    return get
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -63,6 +83,7 @@ def corpus(spark: SparkSession, sf: str) -> DataFrame:
     return ids.select("shard_id", F.col("doc_id").alias("doc_pos"), "text")
 
 
+@derived
 def token_docs(spark: SparkSession, sf: str) -> DataFrame:
     """Byte tokens of every document, written once."""
     return staged(pretokenize_bytes(corpus(spark, sf)), "tokens")
@@ -154,7 +175,7 @@ losses AS (
 
 def rollout_rows(spark: SparkSession, sf: str) -> DataFrame:
     """User turns answered by an assistant turn: queries, responses and the length reward."""
-    turns = table(spark, sf, "conversations")
+    turns = spread_small(table(spark, sf, "conversations"), "conv_id")
     user = turns.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("q"))
     answer = turns.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("r")
@@ -171,12 +192,13 @@ def rollout_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@derived
 def rollout_cells(spark: SparkSession, sf: str) -> DataFrame:
     """One row per rollout with the arrays a step works on; log-probabilities come from next-token counts."""
-    shown = examples(spark, sf)
-    counts_train = staged(scoring.next_token_counts(shown.where(F.col("split") == "train")), "train_counts")
-    counts_all = scoring.next_token_counts(shown)
-    rows = spread_small(rollout_rows(spark, sf), "rollout_id")
+    counts = staged(scoring.pair_totals(examples(spark, sf), ["split"]), "counts")
+    counts_train = counts.where(F.col("split") == "train").drop("split")
+    counts_all = counts.groupBy("context", "next").agg(F.sum("cnt").alias("cnt"))
+    rows = rollout_rows(spark, sf)
     ids = concat_prompt_response(F.col("query_ids"), F.col("response_ids"))
     attention = F.array_repeat(F.lit(1), F.size("ids"))
     rows = rows.withColumn("ids", ids).withColumn(
@@ -191,12 +213,14 @@ def rollout_cells(spark: SparkSession, sf: str) -> DataFrame:
     band = F.least(F.floor(F.size("response_ids") / 200), F.lit(9))
     banded = rows.withColumn("band", band)
     means = banded.groupBy("band").agg(F.avg("score").alias("value"))
-    valued = lookup(banded, means, ["band"], spread=["rollout_id"])
-    return (
+    # At most ten bands.
+    valued = banded.join(F.broadcast(means), "band")
+    return staged(
         valued.join(scored, "rollout_id")
         .withColumn("values", F.transform("mask", lambda m: F.col("value")))
         .withColumn("vpreds", F.transform("mask", lambda m, i: F.col("value") + (i % 7 - 3) / F.lit(10.0)))
-        .drop("band", "value")
+        .drop("band", "value"),
+        "rollouts",
     )
 
 
@@ -208,6 +232,7 @@ SQL_LOG = """log AS (
          value AS loss, ts, event_id FROM events)"""
 
 
+@derived
 def run_log(spark: SparkSession, sf: str) -> DataFrame:
     """One run per user, one step per event in time order."""
     placed = ordered_position(
@@ -217,9 +242,10 @@ def run_log(spark: SparkSession, sf: str) -> DataFrame:
         name="step",
     )
     split = F.when(F.col("event_type").isin("view", "click"), "train").otherwise("val")
-    return placed.select(
+    named = placed.select(
         F.col("user_id").alias("run_id"), "step", split.alias("split"), F.col("value").alias("loss"), "ts", "event_id"
     )
+    return staged(named, "run_log")
 
 
 SQL_KL_LOG = f"""{SQL_LOG},

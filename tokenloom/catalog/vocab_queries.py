@@ -15,9 +15,9 @@ SQL_WORDS = f"""{t.SQL_CORPUS},
 clean AS (SELECT shard_id, doc_pos, {t.SQL_STRIP} AS text FROM corpus),
 lines AS (
   SELECT unnest(regexp_extract_all('{MARK}' || replace(replace(text, ' ', '{MARK}'), chr(10), chr(10) || '{MARK}'),
-    '[\\n\\x01]|[0-9０-９]|{MARK}?[^{MARK}0-9０-９\\n\\x01]+|{MARK}')) AS word
+    '[\\n\\x01\\x02]|[0-9０-９]|{MARK}?[^{MARK}0-9０-９\\n\\x01\\x02]+|{MARK}')) AS word
   FROM clean WHERE length(text) > 0 AND shard_id < 10),
-words AS (SELECT word, count(*) AS cnt FROM lines WHERE word <> chr(10) AND word <> chr(1) GROUP BY word)"""
+words AS (SELECT word, count(*) AS cnt FROM lines WHERE word NOT IN (chr(10), chr(1), chr(2)) GROUP BY word)"""
 
 SQL_CHARS = f"""{SQL_WORDS},
 chars AS (
@@ -42,10 +42,12 @@ def training_words(spark, sf):
     return V.word_counts(C.first_shards(clean(spark, sf)))
 
 
+@t.derived
 def trained(spark, sf):
     return V.train_bpe(training_words(spark, sf), VOCAB_SIZE)
 
 
+@t.derived
 def char_vocabulary(spark, sf):
     """A vocabulary whose size leaves no room for merges."""
     words = V.staged(training_words(spark, sf), "words")
@@ -83,9 +85,10 @@ def pair_counts(spark, sf):
 @query(
     "bpe_step",
     f"""WITH {SQL_PAIRS}, best AS (SELECT l, r FROM pairs ORDER BY cnt DESC, length(l || r), l || r, l LIMIT 1),
-    first_symbols AS (SELECT word, cnt, array_to_string(regexp_extract_all(word, '(?s).'), chr(1)) AS symbols FROM words)
-    SELECT word, cnt, rtrim(replace(symbols || chr(1), l || chr(1) || r || chr(1), l || r || chr(1)), chr(1)) AS symbols
-    FROM first_symbols CROSS JOIN best""",
+    first_symbols AS (SELECT word, cnt, array_to_string(list_transform(
+      regexp_extract_all(word, '(?s).'), lambda c: chr(1) || c || chr(2)), '') AS symbols FROM words)
+    SELECT word, cnt, replace(symbols, chr(1) || l || chr(2) || chr(1) || r || chr(2), chr(1) || l || r || chr(2))
+      AS symbols FROM first_symbols CROSS JOIN best""",
 )
 def bpe_step(spark, sf):
     """One merge of the most frequent pair."""

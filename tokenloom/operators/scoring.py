@@ -9,18 +9,22 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.scores import ranked_probs
 from tokenloom.plans.lookups import lookup
-from tokenloom.plans.staging import staged
+
+
+def pair_totals(examples: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Counts of (context, next) over the x, y pairs of the examples; combined before the shuffle."""
+    pairs = examples.select(*by, F.explode(F.arrays_zip("x", "y")).alias("p"))
+    return pairs.groupBy(*by, F.col("p.x").alias("context"), F.col("p.y").alias("next")).agg(
+        F.count(F.lit(1)).alias("cnt")
+    )
 
 
 def next_token_counts(examples: DataFrame) -> DataFrame:
-    """Counts of (context, next) over the x, y pairs of the examples and their log-probability.
+    """Pair counts with the total of their context and their log-probability.
 
-    Counts are combined before the shuffle; the window then runs over at most one vocabulary per context.
+    The window runs over counts: at most one vocabulary per context.
     """
-    pairs = examples.select(F.explode(F.arrays_zip("x", "y")).alias("p"))
-    counts = pairs.groupBy(F.col("p.x").alias("context"), F.col("p.y").alias("next")).agg(
-        F.count(F.lit(1)).alias("cnt")
-    )
+    counts = pair_totals(examples)
     total = F.sum("cnt").over(Window.partitionBy("context"))
     return counts.withColumn("context_cnt", total).withColumn("logp", F.ln(F.col("cnt") / F.col("context_cnt")))
 
@@ -48,9 +52,9 @@ def score_pairs(
 ) -> DataFrame:
     """Add the add-one smoothed log-probability ``name`` of every pair under a table of next-token counts.
 
-    Unseen pairs and contexts need no rows: their counts are 0.
+    Unseen pairs and contexts need no rows: their counts are 0. ``counts`` is read three times and should be a table.
     """
-    counts = staged(counts.select("context", "next", "cnt"), "counts")
+    counts = counts.select("context", "next", "cnt")
     contexts = context_stats(counts, vocab_size)
     if not with_entropy:
         contexts = contexts.drop("entropy")
@@ -67,8 +71,8 @@ def score_pairs(
 
 def score_unigrams(pairs: DataFrame, counts: DataFrame, vocab_size: int, name: str, spread: Sequence[str]) -> DataFrame:
     """Add the add-one smoothed log-probability of the next token alone."""
-    single = staged(counts.groupBy("next").agg(F.sum("cnt").alias("cnt")), "unigrams")
-    held = pairs.withColumn("_all", single.agg(F.sum("cnt")).scalar())
+    single = counts.groupBy("next").agg(F.sum("cnt").alias("cnt"))
+    held = pairs.withColumn("_all", counts.agg(F.sum("cnt")).scalar())
     found = lookup(held, single, ["next"], "left", spread=spread)
     seen = F.coalesce(F.col("cnt"), F.lit(0)) + 1
     return found.withColumn(name, F.ln(seen / (F.col("_all") + F.lit(vocab_size)))).drop("cnt", "_all")

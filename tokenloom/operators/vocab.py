@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.text import BOS_ID, BYTE_OFFSET, EOS_ID, UNK_ID, add_bos_eos
 from tokenloom.plans.lookups import lookup
+from tokenloom.plans.session import spread_small
 from tokenloom.plans.staging import staged
 
 # The visible space, the number of byte pieces, the displayed forms of the two border tokens.
@@ -25,13 +26,13 @@ BOS_DISPLAY = "\n<s>\n"
 EOS_DISPLAY = "\n</s>\n"
 
 FIRST_FREE_ID = BYTE_OFFSET + BYTE_PIECES
-SEPARATOR = "\x01"
+OPEN, CLOSE = "\x01", "\x02"
 VOCAB_SCHEMA = "id INT, piece STRING, score FLOAT, kind STRING"
 MERGE_SCHEMA = "rank INT, left STRING, right STRING"
 
-# A word is one digit, or a run without spaces and digits with the space before it. Line ends and the symbol separator
+# A word is one digit, or a run without spaces and digits with the space before it. Line ends and the symbol delimiters
 # stand alone: they are never part of a learned piece and are encoded as bytes.
-WORD = rf"[\n\x01]|[0-9０-９]|{SPACE}?[^{SPACE}0-9０-９\n\x01]+|{SPACE}"
+WORD = rf"[\n\x01\x02]|[0-9０-９]|{SPACE}?[^{SPACE}0-9０-９\n\x01\x02]+|{SPACE}"
 
 CANDIDATES_PER_ROUND = 256
 MERGES_PER_STAGE = 32
@@ -49,7 +50,7 @@ def training_words_of(text: Column) -> Column:
     """Words of a training text: every line starts afresh with a space mark, line ends are dropped."""
     marked = F.replace(F.replace(text, F.lit(" "), F.lit(SPACE)), F.lit("\n"), F.lit("\n" + SPACE))
     words = F.regexp_extract_all(F.concat(F.lit(SPACE), marked), F.lit(WORD), F.lit(0))
-    kept = F.filter(words, lambda w: ~w.isin("\n", SEPARATOR))
+    kept = F.filter(words, lambda w: ~w.isin("\n", OPEN, CLOSE))
     return F.when(F.length(text) == 0, F.array().cast("array<string>")).otherwise(kept)
 
 
@@ -82,39 +83,40 @@ def char_inventory(words: DataFrame, coverage: float = 1.0) -> DataFrame:
 
 
 def with_symbols(words: DataFrame) -> DataFrame:
-    """Start state of training: every character is a symbol; symbols are joined by a separator."""
-    return words.select("word", "cnt", F.array_join(F.split("word", ""), SEPARATOR).alias("symbols"))
+    """Start state of training: every character is a symbol, wrapped in an opening and a closing control character."""
+    wrapped = F.transform(F.split("word", ""), lambda c: F.concat(F.lit(OPEN), c, F.lit(CLOSE)))
+    return words.select("word", "cnt", F.array_join(wrapped, "").alias("symbols"))
+
+
+def symbol_list(symbols: Column) -> Column:
+    """The symbols of a word as an array."""
+    return F.split(F.substring(symbols, F.lit(2), F.length(symbols) - 2), CLOSE + OPEN)
 
 
 def pair_counts(words: DataFrame) -> DataFrame:
     """Weighted counts of adjacent symbols."""
-    symbols = F.split("symbols", SEPARATOR)
+    symbols = symbol_list(F.col("symbols"))
     pairs = F.zip_with(
-        F.slice(symbols, F.lit(1), F.size(symbols) - 1),
-        F.slice(symbols, F.lit(2), F.size(symbols) - 1),
+        F.slice("_list", F.lit(1), F.size("_list") - 1),
+        F.slice("_list", F.lit(2), F.size("_list") - 1),
         lambda a, b: F.struct(a.alias("left"), b.alias("right")),
     )
     return (
-        words.where(F.contains("symbols", F.lit(SEPARATOR)))
+        words.where(F.contains("symbols", F.lit(CLOSE + OPEN)))
+        .select(symbols.alias("_list"), "cnt")
         .select(F.explode(pairs).alias("pair"), "cnt")
         .groupBy("pair.left", "pair.right")
         .agg(F.sum("cnt").alias("cnt"))
     )
 
 
-def _quoted(symbol: str) -> str:
-    """A symbol as a literal inside a Java regular expression."""
-    return "\\Q" + symbol.replace("\\E", "\\E\\\\E\\Q") + "\\E"
-
-
 def merged_symbols(symbols: Column, left: str, right: str) -> Column:
-    """Merge every occurrence of (left, right), left to right, without overlap."""
-    pattern = rf"(?<=\A|\x01){_quoted(left)}\x01{_quoted(right)}(?=\x01|\z)"
-    merged = (left + right).replace("\\", "\\\\").replace("$", "\\$")
-    return F.when(
-        F.contains(symbols, F.lit(left + SEPARATOR + right)),
-        F.regexp_replace(symbols, F.lit(pattern), F.lit(merged)),
-    ).otherwise(symbols)
+    """Merge every occurrence of (left, right), left to right, without overlap.
+
+    No two symbols share a delimiter, so a plain text replacement finds exactly the whole-symbol pairs.
+    """
+    pair = OPEN + left + CLOSE + OPEN + right + CLOSE
+    return F.replace(symbols, F.lit(pair), F.lit(OPEN + left + right + CLOSE))
 
 
 def bpe_step(words: DataFrame, left: str, right: str) -> DataFrame:
@@ -200,6 +202,8 @@ def train_bpe(
         raise ValueError("the vocabulary size must be positive")
     spark = words.sparkSession
     counted = staged(words.select("word", "cnt"), "words")
+    # The loop is bound by computing, not by reading: a small table is spread over all cores once.
+    counted = spread_small(counted, "word")
     room = vocab_size - FIRST_FREE_ID
     kept = char_inventory(counted, coverage).where("kept").orderBy(F.desc("cnt"), "ch").select("ch")
     chars = [r["ch"] for r in kept.limit(max(room, 0) + 1).collect()]
@@ -316,7 +320,7 @@ def encode_corpus(
     aggregate whose map side already collects them.
     """
     key = ["shard_id", "doc_pos"]
-    counted = word_counts(docs, training=False)
+    counted = spread_small(staged(word_counts(docs, training=False), "words"), "word")
     dictionary = staged(segment_words(counted, vocabulary), "dictionary")
     head = staged(dictionary_head(dictionary, head_words), "head")
     occurrences = docs.select(*key, F.posexplode(words_of(F.col("text"))).alias("pos", "word"))

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokenloom.plans.staging import staged
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -35,7 +34,6 @@ def lookup(
     on: Sequence[str],
     how: str = "inner",
     *,
-    stage: bool = False,
     spread: Sequence[str | Column] | None = None,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
@@ -47,8 +45,6 @@ def lookup(
     rows of one key apart) and ``small`` is repeated once per salt.
     """
     on = list(on)
-    if stage:
-        small = staged(small, "lookup")
     if fits_broadcast(small, max_rows, max_bytes):
         return df.join(F.broadcast(small), on, how)
     spread = list(spread) if spread is not None else _spread_columns(df, on)

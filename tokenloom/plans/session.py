@@ -25,9 +25,10 @@ def local_session(cores: str = "8", app: str = "tokenloom") -> SparkSession:
 
 
 def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores.
+    """Spread a table that has fewer partitions than the cluster has cores, ahead of work that is bound by computing.
 
-    A table of many splits, the normal case at scale, is left alone and costs no shuffle.
+    A table of many partitions, the normal case at scale, is left alone and costs no shuffle. ``df`` must be a plain
+    scan: asking a plan with shuffles for its partitions would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
