@@ -360,7 +360,9 @@ def score_rollouts(spark, sf):
     f"""WITH {t.SQL_KL_LOG},
     last AS (SELECT run_id, epoch, rank, arg_max(kl, minibatch) AS kl FROM kl_log GROUP BY ALL),
     epochs AS (SELECT run_id, epoch, avg(kl) AS kl FROM last GROUP BY ALL)
-    SELECT run_id, min(CASE WHEN kl > 1.5::DOUBLE * 0.01::DOUBLE THEN epoch END) AS stop_epoch FROM epochs GROUP BY run_id""",
+    SELECT run_id, coalesce(min(CASE WHEN kl > 1.5::DOUBLE * 0.01::DOUBLE THEN epoch END), -1) AS stop_epoch FROM epochs GROUP BY run_id""",
 )
 def early_stop(spark, sf):
-    return O.early_stop(t.kl_log(spark, sf), O.RolloutConfig(target_kl=0.01))
+    """A run that never stops shows -1."""
+    stops = O.early_stop(t.kl_log(spark, sf), O.RolloutConfig(target_kl=0.01))
+    return stops.withColumn("stop_epoch", F.coalesce("stop_epoch", F.lit(-1).cast("long")))

@@ -64,16 +64,16 @@ SQL_STREAMS = f"""{SQL_TOKENS},
 streams AS (SELECT shard_id, flatten(list(ids ORDER BY doc_pos)) AS toks FROM token_docs GROUP BY shard_id)"""
 
 SQL_CHUNKS = f"""{SQL_STREAMS},
-numbered AS (
-  SELECT shard_id, toks, unnest(range(greatest(len(toks) // {LENGTH} - 1, 0))) AS chunk_id FROM streams),
-chunks AS (
-  SELECT shard_id, chunk_id, toks[chunk_id * {LENGTH} + 1 : chunk_id * {LENGTH} + {LENGTH} + 1] AS chunk
-  FROM numbered)"""
+cut AS (
+  SELECT shard_id, range(greatest(len(toks) // {LENGTH} - 1, 0)) AS numbers, list_transform(
+    range(greatest(len(toks) // {LENGTH} - 1, 0)), lambda c: toks[c * {LENGTH} + 1 : c * {LENGTH} + {LENGTH} + 1]) AS parts
+  FROM streams),
+chunks AS MATERIALIZED (SELECT shard_id, unnest(numbers) AS chunk_id, unnest(parts) AS chunk FROM cut)"""
 
 SQL_COUNTS = f"""{SQL_CHUNKS},
 steps AS (SELECT shard_id, unnest(chunk[1:{LENGTH}]) AS context, unnest(chunk[2:{LENGTH + 1}]) AS next FROM chunks),
-counts_train AS (SELECT context, next, count(*) AS cnt FROM steps WHERE shard_id > 0 GROUP BY ALL),
-counts_all AS (SELECT context, next, count(*) AS cnt FROM steps GROUP BY ALL)"""
+counts_train AS MATERIALIZED (SELECT context, next, count(*) AS cnt FROM steps WHERE shard_id > 0 GROUP BY ALL),
+counts_all AS MATERIALIZED (SELECT context, next, count(*) AS cnt FROM steps GROUP BY ALL)"""
 
 
 def corpus(spark: SparkSession, sf: str) -> DataFrame:
@@ -118,12 +118,11 @@ placed AS (
   SELECT rollout_id, conv_id, score, query_ids, response_ids, list_concat(query_ids, response_ids) AS ids,
          least(len(response_ids) // 200, 9) AS band FROM rollouts),
 bands AS (SELECT band, avg(score) AS value FROM placed GROUP BY band),
-pairs AS (
-  SELECT rollout_id, conv_id, score, band, len(query_ids) AS qn, len(ids) AS n, ids,
-         unnest(range(len(ids) - 1)) AS pos FROM placed),
 tokens AS (
-  SELECT rollout_id, conv_id, score, band, pos, n, ids[pos + 1] AS context, ids[pos + 2] AS next,
-         CASE WHEN pos >= qn - 1 THEN 1 ELSE 0 END AS mask FROM pairs),
+  SELECT rollout_id, conv_id, score, band, len(ids) AS n, unnest(range(len(ids) - 1)) AS pos,
+         unnest(ids[1 : len(ids) - 1]) AS context, unnest(ids[2 : len(ids)]) AS next,
+         unnest(list_transform(range(len(ids) - 1), lambda i: CASE WHEN i >= len(query_ids) - 1 THEN 1 ELSE 0 END)) AS mask
+  FROM placed),
 ctx_train AS (
   SELECT context, sum(cnt) AS total,
          ln(sum(cnt) + {BYTE_VOCAB}) - sum((cnt + 1) * ln(cnt + 1)) / (sum(cnt) + {BYTE_VOCAB}) AS entropy
@@ -131,7 +130,7 @@ ctx_train AS (
 ctx_all AS (SELECT context, sum(cnt) AS total FROM counts_all GROUP BY context),
 uni AS (SELECT next, sum(cnt) AS cnt FROM counts_train GROUP BY next),
 mass AS (SELECT sum(cnt) AS total FROM uni),
-cells AS (
+cells AS MATERIALIZED (
   SELECT t.rollout_id, t.conv_id, t.score, t.pos, t.n, t.mask,
          ln((coalesce(p.cnt, 0) + 1) / (coalesce(c.total, 0) + {BYTE_VOCAB})::DOUBLE) AS logprob,
          ln((coalesce(u.cnt, 0) + 1) / (m.total + {BYTE_VOCAB})::DOUBLE) AS ref_logprob,
@@ -157,7 +156,7 @@ SQL_ADVANTAGES = f"""{SQL_REWARDS},
 masked AS (SELECT *, value * mask AS v, reward * mask AS r FROM rewarded),
 residual AS (
   SELECT *, r + coalesce(lead(v) OVER (PARTITION BY rollout_id ORDER BY pos), 0) - v AS delta FROM masked),
-raw AS (
+raw AS MATERIALIZED (
   SELECT *, sum(delta * power(0.95::DOUBLE, pos)) OVER (PARTITION BY rollout_id ORDER BY pos DESC)
             / power(0.95::DOUBLE, pos) AS adv FROM residual),
 stat AS (

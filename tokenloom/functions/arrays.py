@@ -30,22 +30,21 @@ def scan(values: Column, start: Column, step: Callable[[Column, Column], Column]
             lambda acc, x: _appended(acc, step(acc["last"], x)),
         )
 
-    def over_blocks(acc: Column, begin: Column) -> Column:
+    def over_blocks(acc: Column, part: Column) -> Column:
         return F.transform(
-            F.array(inside(acc["last"], F.slice(values, begin, block))),
+            F.array(inside(acc["last"], part)),
             lambda done: F.struct(
                 done["last"].alias("last"), F.concat(acc["parts"], F.array(done["cells"])).alias("parts")
             ),
         )[0]
 
-    size = F.size(values)
-    begins = F.when(size > 0, F.sequence(F.lit(1), size, F.lit(block))).otherwise(F.array().cast("array<int>"))
-    folded = F.aggregate(
-        begins,
-        F.struct(start.cast("double").alias("last"), F.array().cast("array<array<double>>").alias("parts")),
-        over_blocks,
-    )
-    return F.flatten(folded["parts"])
+    def folded(cells: Column) -> Column:
+        size = F.size(cells)
+        begins = F.when(size > 0, F.sequence(F.lit(1), size, F.lit(block))).otherwise(F.array().cast("array<int>"))
+        zero = F.struct(start.cast("double").alias("last"), F.array().cast("array<array<double>>").alias("parts"))
+        return F.aggregate(begins, zero, lambda acc, begin: over_blocks(acc, F.slice(cells, begin, block)))
+
+    return F.flatten(bind(values, folded)["parts"])
 
 
 def _appended(acc: Column, value: Column) -> Column:
@@ -57,5 +56,9 @@ def _appended(acc: Column, value: Column) -> Column:
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once per row and hand it to ``body``, which may use it many times."""
+    """Evaluate ``value`` once per row and hand it to ``body``, which may use it many times.
+
+    The optimizer merges projections, so an array computed in an earlier ``select`` would otherwise be computed again
+    for every cell of a lambda that mentions it.
+    """
     return F.transform(F.array(value), body)[0]

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tokenloom.functions.arrays import scan
+from tokenloom.functions.arrays import bind, scan
 
 # Fixed values of the length reward.
 TARGET_LENGTH = 200
@@ -48,24 +48,34 @@ def response_mask(
     Cell ``i`` scores token ``i + 1``. The response starts ``size(query) - 1`` cells in, later by the left padding if
     there is any, and the attention mask and an optional per-response mask can switch cells off.
     """
-    cells = F.size(attention) - 1
-    padding = F.when(
-        F.element_at(attention, 1) == 0, F.greatest(F.array_position(attention, 1) - 1, F.lit(0))
-    ).otherwise(0)
-    start = F.size(query) - 1 + padding
-    end = start + F.size(response)
-
-    def cell(i: Column) -> Column:
-        inside = (i >= start) & (i < end) & (F.get(attention, (i + 1).cast("int")) == 1)
-        keep = F.when(inside, 1).otherwise(0)
-        if extra is None:
-            return keep
-        # The per-response mask is aligned with the unpadded prompt, as is the reference cell it is read from.
-        of_response = F.coalesce(F.get(extra, (i + 1 - F.size(query)).cast("int")), F.lit(0))
-        return (keep * of_response).cast("int")
-
-    positions = F.when(cells > 0, F.sequence(F.lit(0), cells - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(positions, cell)
+    given = F.struct(
+        attention.alias("attention"),
+        F.size(query).alias("prompt"),
+        F.size(response).alias("answer"),
+        (extra if extra is not None else F.lit(None).cast("array<int>")).alias("extra"),
+    )
+
+    def limits(g: Column) -> Column:
+        padding = F.when(
+            F.element_at(g["attention"], 1) == 0, F.greatest(F.array_position(g["attention"], 1) - 1, F.lit(0))
+        ).otherwise(0)
+        start = g["prompt"] - 1 + padding
+        return F.struct(start.alias("start"), (start + g["answer"]).alias("end"))
+
+    def mask(g: Column, lim: Column) -> Column:
+        def cell(i: Column) -> Column:
+            inside = (i >= lim["start"]) & (i < lim["end"]) & (F.get(g["attention"], (i + 1).cast("int")) == 1)
+            keep = F.when(inside, 1).otherwise(0)
+            if extra is None:
+                return keep
+            # The per-response mask is aligned with the prompt without its padding.
+            return (keep * F.coalesce(F.get(g["extra"], (i + 1 - g["prompt"]).cast("int")), F.lit(0))).cast("int")
+
+        cells = F.size(g["attention"]) - 1
+        positions = F.when(cells > 0, F.sequence(F.lit(0), cells - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(positions, cell)
+
+    return bind(given, lambda g: bind(limits(g), lambda lim: mask(g, lim)))
 
 
 def kl_penalty(logprob: Column, ref: Column, mode: str = "kl") -> Column:
@@ -91,11 +101,17 @@ def non_score_rewards(logprobs: Column, refs: Column, beta: Column | float, mode
 
 def token_rewards(non_score: Column, score: Column, mask: Column) -> Column:
     """Add the rollout's score to its last masked-in cell; a rollout without any such cell is an error."""
-    last = F.size(mask) - F.array_position(F.reverse(mask), 1)
-    checked = F.when(F.array_contains(mask, 1), last).otherwise(
-        F.raise_error(F.lit("a rollout has no response cell to reward"))
+    last = bind(
+        mask,
+        lambda m: F.when(F.array_contains(m, 1), F.size(m) - F.array_position(F.reverse(m), 1)).otherwise(
+            F.raise_error(F.lit("a rollout has no response cell to reward")).cast("long")
+        ),
+    )
+    given = F.struct(last.alias("last"), score.alias("score"))
+    return bind(
+        given,
+        lambda g: F.transform(non_score, lambda r, i: F.when(i == g["last"], r + g["score"]).otherwise(r)),
     )
-    return F.transform(non_score, lambda r, i: F.when(i == checked, r + score).otherwise(r))
 
 
 def masked(values: Column, mask: Column) -> Column:
@@ -104,10 +120,14 @@ def masked(values: Column, mask: Column) -> Column:
 
 def td_residuals(rewards: Column, values: Column, gamma: float) -> Column:
     """``r_t + gamma * V_{t+1} - V_t``; the value after the last cell is 0. Both inputs are already masked."""
-    following = F.concat(F.slice(values, F.lit(2), F.greatest(F.size(values) - 1, F.lit(0))), F.array(F.lit(0.0)))
-    return F.zip_with(
-        F.zip_with(rewards, following, lambda r, n: r + F.lit(gamma) * n), values, lambda d, v: d - v
-    )
+
+    def residuals(v: Column) -> Column:
+        following = F.concat(F.slice(v, F.lit(2), F.greatest(F.size(v) - 1, F.lit(0))), F.array(F.lit(0.0)))
+        return F.zip_with(
+            F.zip_with(rewards, following, lambda r, n: r + F.lit(gamma) * n), v, lambda d, now: d - now
+        )
+
+    return bind(values, residuals)
 
 
 def advantages(residuals: Column, gamma: float, lam: float) -> Column:

@@ -20,16 +20,21 @@ def as_double(scores: Column) -> Column:
 
 def log_sum_exp(scores: Column) -> Column:
     """``ln(sum(exp(scores)))`` with the largest score taken out first."""
+    return bind(scores, _log_sum_exp)
+
+
+def _log_sum_exp(v: Column) -> Column:
     return bind(
-        F.array_max(scores),
-        lambda top: top + F.ln(F.aggregate(scores, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))),
+        F.array_max(v),
+        lambda top: top + F.ln(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))),
     )
 
 
 def log_softmax(scores: Column) -> Column:
     """Logarithm of the softmax of a score vector."""
-    scores = as_double(scores)
-    return bind(log_sum_exp(scores), lambda norm: F.transform(scores, lambda x: x - norm))
+    return bind(
+        as_double(scores), lambda v: bind(_log_sum_exp(v), lambda norm: F.transform(v, lambda x: x - norm))
+    )
 
 
 def softmax(scores: Column, temperature: float = 1.0) -> Column:
@@ -37,7 +42,7 @@ def softmax(scores: Column, temperature: float = 1.0) -> Column:
     if temperature <= 0:
         raise ValueError("temperature must be positive; use greedy() for temperature 0")
     scaled = F.transform(as_double(scores), lambda x: x / F.lit(float(temperature)))
-    return bind(scaled, lambda v: bind(log_sum_exp(v), lambda norm: F.transform(v, lambda x: F.exp(x - norm))))
+    return bind(scaled, lambda v: bind(_log_sum_exp(v), lambda norm: F.transform(v, lambda x: F.exp(x - norm))))
 
 
 def gather_label(values: Column, label: Column) -> Column:
@@ -49,8 +54,7 @@ def logprobs_from_logits(scores: Column, label: Column, gather: bool = True) ->
     """Log-probability of ``label``, or of every token when ``gather`` is off."""
     if not gather:
         return log_softmax(scores)
-    scores = as_double(scores)
-    return gather_label(scores, label) - log_sum_exp(scores)
+    return bind(as_double(scores), lambda v: gather_label(v, label) - _log_sum_exp(v))
 
 
 def token_loss(scores: Column, target: Column) -> Column:
@@ -60,21 +64,26 @@ def token_loss(scores: Column, target: Column) -> Column:
 
 def entropy(scores: Column) -> Column:
     """Entropy of the softmax distribution: ``logsumexp(v) - sum(p * v)``."""
-    scores = as_double(scores)
-    return bind(
-        log_sum_exp(scores),
-        lambda norm: norm - F.aggregate(scores, F.lit(0.0), lambda acc, x: acc + F.exp(x - norm) * x),
-    )
+
+    def of(v: Column) -> Column:
+        return bind(
+            _log_sum_exp(v),
+            lambda norm: norm - F.aggregate(v, F.lit(0.0), lambda acc, x: acc + F.exp(x - norm) * x),
+        )
+
+    return bind(as_double(scores), of)
 
 
 def top_k_filter(scores: Column, k: int) -> Column:
     """Keep the scores that reach the k-th largest (ties stay), set the others to minus infinity."""
     if k < 1:
         raise ValueError("k must be at least 1")
-    scores = as_double(scores)
-    ranked = F.sort_array(scores, asc=False)
-    cut = F.element_at(ranked, F.least(F.lit(k), F.size(scores)))
-    return bind(cut, lambda c: F.transform(scores, lambda x: F.when(x < c, F.lit(_BANNED)).otherwise(x)))
+
+    def of(v: Column) -> Column:
+        cut = F.element_at(F.sort_array(v, asc=False), F.least(F.lit(k), F.size(v)))
+        return bind(cut, lambda c: F.transform(v, lambda x: F.when(x < c, F.lit(_BANNED)).otherwise(x)))
+
+    return bind(as_double(scores), of)
 
 
 def ranked_probs(probs: Column) -> Column:
@@ -125,15 +134,15 @@ def sample_entries(entries: Column, uniform: Column) -> Column:
     """
     start = F.struct(F.lit(0.0).alias("mass"), F.lit(-1).alias("token"), F.lit(False).alias("done"))
 
-    def step(acc: Column, entry: Column) -> Column:
+    def step(acc: Column, entry: Column, limit: Column) -> Column:
         open_ = (~acc["done"]) & (entry["p"] > 0)
         return F.struct(
             (acc["mass"] + entry["p"]).alias("mass"),
             F.when(open_, entry["token"]).otherwise(acc["token"]).alias("token"),
-            (acc["done"] | ((entry["p"] > 0) & (acc["mass"] + entry["p"] > uniform))).alias("done"),
+            (acc["done"] | ((entry["p"] > 0) & (acc["mass"] + entry["p"] > limit))).alias("done"),
         )
 
-    return F.aggregate(entries, start, step)["token"]
+    return bind(uniform, lambda u: F.aggregate(entries, start, lambda acc, e: step(acc, e, u)))["token"]
 
 
 def sample_categorical(probs: Column, uniform: Column) -> Column:
@@ -164,10 +173,19 @@ def decode_step(scores: Column, uniform: Column, temperature: float, top_k: int
 
 def truncate_at_end(tokens: Column, prompt_length: Column, end_id: int, echo: bool = False) -> Column:
     """Cut generated tokens after the first end token behind the prompt; ``echo`` keeps the prompt once."""
-    answer = F.slice(tokens, prompt_length + 1, F.greatest(F.size(tokens) - prompt_length, F.lit(0)))
-    end = F.array_position(answer, end_id)
-    cut = F.when(end > 0, F.slice(answer, F.lit(1), end.cast("int"))).otherwise(answer)
-    return F.concat(F.slice(tokens, F.lit(1), prompt_length), cut) if echo else cut
+
+    def of(g: Column) -> Column:
+        all_, prompt = g["tokens"], g["prompt"]
+        answer = F.slice(all_, prompt + 1, F.greatest(F.size(all_) - prompt, F.lit(0)))
+        cut = bind(
+            answer,
+            lambda a: F.when(
+                F.array_contains(a, end_id), F.slice(a, F.lit(1), F.array_position(a, end_id).cast("int"))
+            ).otherwise(a),
+        )
+        return F.concat(F.slice(all_, F.lit(1), prompt), cut) if echo else cut
+
+    return bind(F.struct(tokens.alias("tokens"), prompt_length.alias("prompt")), of)
 
 
 def prompt_protect(prompt_token: Column, proposed: Column) -> Column:

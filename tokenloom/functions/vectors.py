@@ -24,12 +24,15 @@ def quantize_groups(vec: Column, group_size: int) -> Column:
     ``scale = max|w| / 127``, codes are ``w / scale`` rounded half to even. A group of zeros has scale, codes and error
     0. A length that the group size does not divide is an error.
     """
-    vec = vec.cast("array<double>")
-    size = F.size(vec)
-    starts = F.when(size % group_size != 0, F.raise_error(F.lit("vector length is not a multiple of the group size")))
-    starts = starts.otherwise(
-        F.when(size > 0, F.sequence(F.lit(1), size, F.lit(group_size))).otherwise(F.array().cast("array<int>"))
-    )
+
+    def starts(size: Column) -> Column:
+        misfit = F.raise_error(F.lit("vector length is not a multiple of the group size")).cast("array<int>")
+        empty = F.array().cast("array<int>")
+        return (
+            F.when(size % group_size != 0, misfit)
+            .when(size > 0, F.sequence(F.lit(1), size, F.lit(group_size)))
+            .otherwise(empty)
+        )
 
     def quantized(cells: Column) -> Column:
         return bind(
@@ -44,7 +47,10 @@ def quantize_groups(vec: Column, group_size: int) -> Column:
             ),
         )
 
-    return F.transform(starts, lambda s: bind(F.slice(vec, s, group_size), quantized))
+    return bind(
+        vec.cast("array<double>"),
+        lambda v: F.transform(starts(F.size(v)), lambda s: bind(F.slice(v, s, group_size), quantized)),
+    )
 
 
 def dequantize_groups(groups: Column) -> Column:
@@ -56,9 +62,12 @@ def dequantize_groups(groups: Column) -> Column:
 
 def rms_norm(vec: Column, weight: Column, eps: float = 1e-5) -> Column:
     """``v / sqrt(mean(v^2) + eps) * weight``."""
-    vec = vec.cast("array<double>")
-    mean_square = F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + x * x) / F.size(vec)
-    return bind(
-        F.sqrt(mean_square + F.lit(eps)),
-        lambda norm: F.zip_with(vec, weight.cast("array<double>"), lambda x, w: x / norm * w),
-    )
+
+    def of(v: Column) -> Column:
+        mean_square = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x) / F.size(v)
+        return bind(
+            F.sqrt(mean_square + F.lit(eps)),
+            lambda norm: F.zip_with(v, weight.cast("array<double>"), lambda x, w: x / norm * w),
+        )
+
+    return bind(vec.cast("array<double>"), of)
