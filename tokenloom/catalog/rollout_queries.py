@@ -19,9 +19,17 @@ def advantaged(spark, sf):
     return O.compute_advantages(rewarded(spark, sf))
 
 
+STEP_COLUMNS = "rollout_id conv_id score mask logprobs ref_logprobs new_logprobs values vpreds entropy".split()
+
+
+def step_losses(rollouts):
+    """Cells with their losses; only the columns of the step travel, without the token ids."""
+    rows = O.compute_advantages(O.compute_rewards(rollouts.select(*STEP_COLUMNS)))
+    return O.loss_cells(rows.withColumn("mini_batch", F.floor(F.col("conv_id") / 16)), ["mini_batch", *KEY])
+
+
 def losses(spark, sf):
-    batch = F.floor(F.col("conv_id") / 16)
-    return O.loss_cells(advantaged(spark, sf).withColumn("mini_batch", batch), ["mini_batch", *KEY])
+    return step_losses(t.rollout_cells(spark, sf))
 
 
 def value_cells(spark, sf):
@@ -203,9 +211,9 @@ def mean_total_reward(spark, sf):
     f"WITH {t.SQL_ADVANTAGES} SELECT rollout_id, CAST(pos AS INTEGER) AS pos, round(adv, 6) AS advantage FROM advantages",
 )
 def gae(spark, sf):
-    rows = rewarded(spark, sf)
-    raw = R.gae(F.col("rewards"), F.col("values"), F.col("mask"))
-    cells = O.explode_cells(rows.withColumn("advantages", raw), KEY, ["advantages"])
+    masked = {c: R.masked(F.col(c), F.col("mask")) for c in ("rewards", "values")}
+    rows = rewarded(spark, sf).withColumns(masked).select(*KEY, *masked)
+    cells = O.explode_cells(O.gae(rows, "rewards", "values"), KEY, ["advantages"])
     return cells.select("rollout_id", "pos", r6("advantages").alias("advantage"))
 
 

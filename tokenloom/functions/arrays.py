@@ -7,54 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SCAN_BLOCK = 64
-
-
 def total(values: Column) -> Column:
     """Sum of a double array."""
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
 
 
-def scan(values: Column, start: Column, step: Callable[[Column, Column], Column], block: int = SCAN_BLOCK) -> Column:
-    """All intermediate results of a fold: ``out[i] = step(out[i-1], values[i])`` with ``out[-1] = start``.
-
-    A fold that appends to one growing array copies it at every step. Here finished blocks are set aside, so an append
-    copies at most ``block`` cells and the cost stays close to linear in the length.
-    """
-    doubles = "array<double>"
-
-    def inside(carry: Column, part: Column) -> Column:
-        return F.aggregate(
-            part,
-            F.struct(carry.alias("last"), F.array().cast(doubles).alias("cells")),
-            lambda acc, x: _appended(acc, step(acc["last"], x)),
-        )
-
-    def over_blocks(acc: Column, part: Column) -> Column:
-        return F.transform(
-            F.array(inside(acc["last"], part)),
-            lambda done: F.struct(
-                done["last"].alias("last"), F.concat(acc["parts"], F.array(done["cells"])).alias("parts")
-            ),
-        )[0]
-
-    def folded(cells: Column) -> Column:
-        size = F.size(cells)
-        begins = F.when(size > 0, F.sequence(F.lit(1), size, F.lit(block))).otherwise(F.array().cast("array<int>"))
-        zero = F.struct(start.cast("double").alias("last"), F.array().cast("array<array<double>>").alias("parts"))
-        return F.aggregate(begins, zero, lambda acc, begin: over_blocks(acc, F.slice(cells, begin, block)))
-
-    return F.flatten(bind(values, folded)["parts"])
-
-
-def _appended(acc: Column, value: Column) -> Column:
-    """Bind ``value`` once, then store it both as the last result and as a new cell."""
-    return F.transform(
-        F.array(value.cast("double")),
-        lambda v: F.struct(v.alias("last"), F.concat(acc["cells"], F.array(v)).alias("cells")),
-    )[0]
-
-
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once per row and hand it to ``body``, which may use it many times.
 

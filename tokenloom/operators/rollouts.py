@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import rollout as R
 from tokenloom.operators.masked import WHITEN_EPS, flatten_stats, mean_of, var_of
+from tokenloom.operators.recurrence import discounted_suffix_sums
 
 
 @dataclass(frozen=True)
@@ -98,6 +99,12 @@ def compute_rewards(df: DataFrame, config: RolloutConfig = RolloutConfig()) -> D
     )
 
 
+def gae(df: DataFrame, rewards: str, values: str, config: RolloutConfig = RolloutConfig()) -> DataFrame:
+    """Add ``advantages``: generalised advantage estimates from masked rewards and values."""
+    residuals = R.td_residuals(F.col(rewards), F.col(values), config.gamma)
+    return discounted_suffix_sums(df, residuals, config.gamma * config.lam, "advantages")
+
+
 def compute_advantages(df: DataFrame, config: RolloutConfig = RolloutConfig()) -> DataFrame:
     """Mask values, then add ``returns`` and whitened ``advantages``.
 
@@ -112,8 +119,7 @@ def compute_advantages(df: DataFrame, config: RolloutConfig = RolloutConfig()) -
     )
     if config.whiten_rewards:
         masked = whiten_arrays(masked, "_rewards", shift_mean=False)
-    residuals = R.td_residuals(F.col("_rewards"), F.col("values"), config.gamma)
-    raw = masked.withColumn("advantages", R.advantages(residuals, config.gamma, config.lam)).drop("_rewards")
+    raw = gae(masked, "_rewards", "values", config).drop("_rewards")
     with_returns = raw.withColumn("returns", F.zip_with("advantages", "values", lambda a, v: a + v))
     return whiten_arrays(with_returns, "advantages")
 

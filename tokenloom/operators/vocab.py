@@ -33,24 +33,37 @@ MERGE_SCHEMA = "rank INT, left STRING, right STRING"
 # A word is one digit, or a run without spaces and digits with the space before it. Line ends and the symbol delimiters
 # stand alone: they are never part of a learned piece and are encoded as bytes.
 WORD = rf"[\n\x01\x02]|[0-9０-９]|{SPACE}?[^{SPACE}0-9０-９\n\x01\x02]+|{SPACE}"
+ALONE = r"([0-9０-９\n])"
 
 CANDIDATES_PER_ROUND = 256
 MERGES_PER_STAGE = 32
 
 
+def _split_words(marked: Column) -> Column:
+    """Cut a marked text into words.
+
+    One replacement puts a delimiter around the characters that stand alone and the text is split at it, which is
+    several times faster than matching every word. Texts that contain a delimiter themselves take the slow way.
+    """
+    at_spaces = F.replace(marked, F.lit(SPACE), F.lit(OPEN + SPACE))
+    around = F.regexp_replace(at_spaces, ALONE, f"{OPEN}$1{OPEN}")
+    quick = F.filter(F.split(around, OPEN), lambda w: w != "")
+    return F.when(
+        F.contains(marked, F.lit(OPEN)) | F.contains(marked, F.lit(CLOSE)),
+        F.regexp_extract_all(marked, F.lit(WORD), F.lit(0)),
+    ).otherwise(quick)
+
+
 def words_of(text: Column) -> Column:
     """Words of a text, spaces shown as a leading mark; together they spell the whole text."""
     marked = F.concat(F.lit(SPACE), F.replace(text, F.lit(" "), F.lit(SPACE)))
-    return F.when(F.length(text) == 0, F.array().cast("array<string>")).otherwise(
-        F.regexp_extract_all(marked, F.lit(WORD), F.lit(0))
-    )
+    return F.when(F.length(text) == 0, F.array().cast("array<string>")).otherwise(_split_words(marked))
 
 
 def training_words_of(text: Column) -> Column:
     """Words of a training text: every line starts afresh with a space mark, line ends are dropped."""
     marked = F.replace(F.replace(text, F.lit(" "), F.lit(SPACE)), F.lit("\n"), F.lit("\n" + SPACE))
-    words = F.regexp_extract_all(F.concat(F.lit(SPACE), marked), F.lit(WORD), F.lit(0))
-    kept = F.filter(words, lambda w: ~w.isin("\n", OPEN, CLOSE))
+    kept = F.filter(_split_words(F.concat(F.lit(SPACE), marked)), lambda w: ~w.isin("\n", OPEN, CLOSE))
     return F.when(F.length(text) == 0, F.array().cast("array<string>")).otherwise(kept)
 
 
