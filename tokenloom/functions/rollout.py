@@ -122,7 +122,8 @@ def td_residuals(rewards: Column, values: Column, gamma: float) -> Column:
     """``r_t + gamma * V_{t+1} - V_t``; the value after the last cell is 0. Both inputs are already masked."""
 
     def residuals(v: Column) -> Column:
-        following = F.concat(F.slice(v, F.lit(2), F.greatest(F.size(v) - 1, F.lit(0))), F.array(F.lit(0.0)))
+        # One cell longer than the rewards would be a cell too many for an empty rollout.
+        following = F.slice(F.concat(v, F.array(F.lit(0.0))), F.lit(2), F.size(v))
         return F.zip_with(
             F.zip_with(rewards, following, lambda r, n: r + F.lit(gamma) * n), v, lambda d, now: d - now
         )
