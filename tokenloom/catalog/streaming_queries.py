@@ -9,21 +9,18 @@ from tokenloom.catalog.runlog_queries import eval_log
 from tokenloom.plans.staging import new_folder
 from tokenloom.streaming import jobs
 
-PARTS = 3
+WAVES = 3
 
 
-def arrivals(df, key, order, label):
-    """Files that arrive in ``order``: the table is written in three waves; a key has one file per wave."""
-    path = new_folder(df.sparkSession, label)
+def in_waves(df, order, start):
+    """Let the table arrive in three waves by ``order`` and run the query over each, resuming from its checkpoint."""
+    spark = df.sparkSession
+    path, folder = new_folder(spark, "arrivals"), new_folder(spark, "stream")
     top = df.agg(F.max(order)).first()[0] + 1
-    wave = F.floor(F.col(order) * PARTS / F.lit(top))
-    for i in range(PARTS):
-        df.where(wave == i).repartition(4, key).write.mode("append").parquet(path)
-    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 5).parquet(path)
-
-
-def finish(stream_query, folder, spark):
-    stream_query.awaitTermination()
+    wave = F.floor(F.col(order) * WAVES / F.lit(top))
+    for i in range(WAVES):
+        df.where(wave == i).write.mode("append").parquet(path)
+        start(spark.readStream.schema(df.schema).parquet(path), folder).awaitTermination()
     return spark.read.parquet(f"{folder}/output")
 
 
@@ -36,7 +33,8 @@ def finish(stream_query, folder, spark):
 def stream_pretokenize(spark, sf):
     stories = jobs.read_shard_stream(spark, f"{write_story_files(spark, sf)}/*")
     folder = new_folder(spark, "stream")
-    done = finish(jobs.stream_pretokenize(stories, folder), folder, spark)
+    jobs.stream_pretokenize(stories, folder).awaitTermination()
+    done = spark.read.parquet(f"{folder}/output")
     return done.select(F.regexp_extract("shard", r"file=([^/]+)/", 1).alias("shard"), "doc_pos", text("ids").alias("ids"))
 
 
@@ -45,9 +43,7 @@ def stream_pretokenize(spark, sf):
     f"WITH {t.SQL_CHUNKS} SELECT shard_id, chunk_id, array_to_string(chunk, ',') AS chunk FROM chunks",
 )
 def stream_pack(spark, sf):
-    folder = new_folder(spark, "stream")
-    stream = arrivals(t.token_docs(spark, sf), "shard_id", "doc_pos", "arrivals")
-    done = finish(jobs.stream_pack(stream, t.LENGTH, folder), folder, spark)
+    done = in_waves(t.token_docs(spark, sf), "doc_pos", lambda s, folder: jobs.stream_pack(s, t.LENGTH, folder))
     return done.select("shard_id", "chunk_id", text("chunk").alias("chunk"))
 
 
@@ -59,9 +55,8 @@ def stream_pack(spark, sf):
     SELECT run_id, step, round(0.2::DOUBLE * product(m) OVER (PARTITION BY run_id ORDER BY step), 6) AS kl_coef FROM mult""",
 )
 def stream_kl_controller(spark, sf):
-    folder = new_folder(spark, "stream")
-    stream = arrivals(t.kl_log(spark, sf).select("run_id", "step", "kl", "n"), "run_id", "step", "arrivals")
-    done = finish(jobs.stream_kl_controller(stream, 0.2, 0.006, 10_000, folder), folder, spark)
+    log = t.kl_log(spark, sf).select("run_id", "step", "kl", "n")
+    done = in_waves(log, "step", lambda s, folder: jobs.stream_kl_controller(s, 0.2, 0.006, 10_000, folder))
     return done.select("run_id", "step", r6("kl_coef").alias("kl_coef"))
 
 
@@ -73,7 +68,5 @@ def stream_kl_controller(spark, sf):
     SELECT run_id, step, val_loss, best_before, val_loss < best_before AND step > 0 AS saved FROM seen""",
 )
 def stream_best_checkpoint(spark, sf):
-    folder = new_folder(spark, "stream")
-    stream = arrivals(eval_log(spark, sf), "run_id", "step", "arrivals")
-    done = finish(jobs.stream_best_checkpoint(stream, folder), folder, spark)
+    done = in_waves(eval_log(spark, sf), "step", jobs.stream_best_checkpoint)
     return done.select("run_id", "step", "val_loss", "best_before", "saved")

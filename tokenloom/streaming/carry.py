@@ -13,11 +13,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-Step = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
+Step = Callable[[DataFrame, DataFrame], DataFrame]
+Carry = Callable[[DataFrame, DataFrame, DataFrame], DataFrame]
 
 
-def run_with_carry(stream: DataFrame, step: Step, state_schema: StructType | str, folder: str) -> StreamingQuery:
-    """Start ``step(batch, state) -> (output, new state)`` over everything available; results in ``folder/output``."""
+def run_with_carry(
+    stream: DataFrame, step: Step, carry: Carry, state_schema: StructType | str, folder: str
+) -> StreamingQuery:
+    """Start ``step(batch, state) -> output`` over everything available; results in ``folder/output``.
+
+    ``carry(batch, state, output)`` gives the state for the next micro-batch; it sees the output as it was written, so
+    nothing is computed twice.
+    """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -25,9 +32,10 @@ def run_with_carry(stream: DataFrame, step: Step, state_schema: StructType | str
             state = spark.createDataFrame([], state_schema)
         else:
             state = spark.read.schema(state_schema).parquet(f"{folder}/state/{batch_id - 1}")
-        output, carried = step(batch, state)
-        carried.write.mode("overwrite").parquet(f"{folder}/state/{batch_id}")
-        output.write.mode("overwrite").parquet(f"{folder}/output/batch_id={batch_id}")
+        output, place = step(batch, state), f"{folder}/output/batch_id={batch_id}"
+        output.write.mode("overwrite").parquet(place)
+        written = spark.read.schema(output.schema).parquet(place)
+        carry(batch, state, written).write.mode("overwrite").parquet(f"{folder}/state/{batch_id}")
 
     return (
         stream.writeStream.foreachBatch(each)

@@ -48,16 +48,21 @@ def stream_pretokenize(stories: DataFrame, folder: str) -> StreamingQuery:
 PACK_STATE = "shard_id INT, next_chunk BIGINT, ids ARRAY<INT>"
 
 
+def _with_tails(batch: DataFrame, state: DataFrame) -> DataFrame:
+    """The tokens left over come first, as a document before all others."""
+    tails = state.select("shard_id", F.lit(-1).cast("long").alias("doc_pos"), "ids", F.size("ids").alias("n_tokens"))
+    return batch.select("shard_id", "doc_pos", "ids", "n_tokens").unionByName(tails)
+
+
 def _pack_step(length: int):
-    def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-        # The tokens left over come first, as a document before all others.
-        tails = state.select("shard_id", F.lit(-1).cast("long").alias("doc_pos"), "ids", F.size("ids").alias("n_tokens"))
-        docs = batch.select("shard_id", "doc_pos", "ids", "n_tokens").unionByName(tails)
-        base = state.select("shard_id", "next_chunk")
-        examples = lookup(packing.pack_sequences(docs, length), base, ["shard_id"], "left", spread=["chunk_id"])
+    def step(batch: DataFrame, state: DataFrame) -> DataFrame:
+        packed = packing.pack_sequences(_with_tails(batch, state), length)
+        numbered = lookup(packed, state.select("shard_id", "next_chunk"), ["shard_id"], "left", spread=["chunk_id"])
         chunk_id = F.col("chunk_id") + F.coalesce("next_chunk", F.lit(0))
-        output = examples.select("shard_id", chunk_id.alias("chunk_id"), "chunk")
+        return numbered.select("shard_id", chunk_id.alias("chunk_id"), "chunk")
 
+    def carry(batch: DataFrame, state: DataFrame, written: DataFrame) -> DataFrame:
+        docs = _with_tails(batch, state)
         counts = packing.chunk_counts(docs, length).select("shard_id", "chunks")
         located = lookup(packing.token_offsets(docs), counts, ["shard_id"], spread=["doc_pos"])
         used = F.col("chunks") * F.lit(length)
@@ -71,18 +76,17 @@ def _pack_step(length: int):
             .agg(F.array_sort(F.collect_list(F.struct("start", part.alias("part")))).alias("parts"))
             .select("shard_id", F.flatten("parts.part").alias("ids"))
         )
-        moved = (
+        return (
             counts.join(left, "shard_id", "left")
-            .join(base, "shard_id", "left")
+            .join(state.select("shard_id", "next_chunk"), "shard_id", "left")
             .select(
                 "shard_id",
                 (F.coalesce("next_chunk", F.lit(0)) + F.col("chunks")).alias("next_chunk"),
                 F.coalesce("ids", F.array().cast("array<int>")).alias("ids"),
             )
         )
-        return output, moved
 
-    return step
+    return step, carry
 
 
 def stream_pack(tokens: DataFrame, length: int, folder: str) -> StreamingQuery:
@@ -90,16 +94,12 @@ def stream_pack(tokens: DataFrame, length: int, folder: str) -> StreamingQuery:
 
     Documents of a shard must arrive in order; inside a micro-batch they are ordered by position.
     """
-    return run_with_carry(tokens, _pack_step(length), PACK_STATE, folder)
+    return run_with_carry(tokens, *_pack_step(length), PACK_STATE, folder)
 
 
 KL_STATE = "run_id BIGINT, kl_coef DOUBLE"
 
 
-def _latest(output: DataFrame, value: str) -> DataFrame:
-    return output.groupBy("run_id").agg(F.max_by(value, "step").alias(value))
-
-
 def _kept(state: DataFrame, fresh: DataFrame) -> DataFrame:
     """State of the runs this micro-batch did not touch, plus the new state of the others."""
     return state.join(fresh.select("run_id"), "run_id", "left_anti").unionByName(fresh)
@@ -108,13 +108,15 @@ def _kept(state: DataFrame, fresh: DataFrame) -> DataFrame:
 def stream_kl_controller(log: DataFrame, start: float, target: float, horizon: int, folder: str) -> StreamingQuery:
     """Penalty coefficient after each step, one carried number per run."""
 
-    def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def step(batch: DataFrame, state: DataFrame) -> DataFrame:
         scaled = kl_controller(batch, 1.0, target, horizon).withColumnRenamed("kl_coef", "_factor")
         known = lookup(scaled, state, ["run_id"], "left", spread=["step"])
-        output = known.withColumn("kl_coef", F.col("_factor") * F.coalesce("kl_coef", F.lit(start))).drop("_factor")
-        return output, _kept(state, _latest(output, "kl_coef"))
+        return known.withColumn("kl_coef", F.col("_factor") * F.coalesce("kl_coef", F.lit(start))).drop("_factor")
+
+    def carry(batch: DataFrame, state: DataFrame, written: DataFrame) -> DataFrame:
+        return _kept(state, written.groupBy("run_id").agg(F.max_by("kl_coef", "step").alias("kl_coef")))
 
-    return run_with_carry(log, step, KL_STATE, folder)
+    return run_with_carry(log, step, carry, KL_STATE, folder)
 
 
 BEST_STATE = "run_id BIGINT, best DOUBLE"
@@ -123,16 +125,18 @@ BEST_STATE = "run_id BIGINT, best DOUBLE"
 def stream_best_checkpoint(log: DataFrame, folder: str) -> StreamingQuery:
     """Checkpoint decisions at evaluation steps, one carried best loss per run."""
 
-    def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def step(batch: DataFrame, state: DataFrame) -> DataFrame:
         known = lookup(best_checkpoint(batch), state, ["run_id"], "left", spread=["step"])
         before = F.least("best_before", F.coalesce("best", F.lit(START_LOSS)))
-        output = (
+        return (
             known.withColumn("best_before", before)
             .withColumn("improved", F.col("val_loss") < F.col("best_before"))
             .withColumn("saved", (F.col("step") > 0) & F.col("improved"))
             .drop("best")
         )
-        best = output.groupBy("run_id").agg(F.min(F.least("val_loss", "best_before")).alias("best"))
-        return output, _kept(state, best)
 
-    return run_with_carry(log, step, BEST_STATE, folder)
+    def carry(batch: DataFrame, state: DataFrame, written: DataFrame) -> DataFrame:
+        best = written.groupBy("run_id").agg(F.min(F.least("val_loss", "best_before")).alias("best"))
+        return _kept(state, best)
+
+    return run_with_carry(log, step, carry, BEST_STATE, folder)
