@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import pieces, quality
+from tokenloom.llm import licenses, mixing, pieces, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +62,14 @@ def op7(spark, sf_dir):
     book = quality.ledger(table(spark, sf_dir, "documents"))
     base_failed = ~quality.passes("base-1")
     return book.select("*", base_failed.alias("base_failed"), (~base_failed & quality.passes(QUALITY_POLICY)).alias("kept"))
+
+
+@query("op1_license_scan", licenses.oracle())
+def op1(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op10_mixing")
+def op10(spark, sf_dir):
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
