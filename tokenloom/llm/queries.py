@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import licenses, mixing, pieces, quality
+from tokenloom.llm import language, licenses, mixing, pieces, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +73,11 @@ def op1(spark, sf_dir):
 def op10(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op4_language_id")
+def op4(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    fold = F.coalesce(language.held_out(), F.lit(False))
+    model = language.fit(docs.where(~language.held_out()))
+    return language.predict(docs, model, keep={"held_out": fold})

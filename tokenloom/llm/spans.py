@@ -58,8 +58,8 @@ class Slice:
         return total[self.at[1:]] - total[self.at[:-1]]
 
 
-def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
-    """Cut a string column into slices; a null is an empty text."""
+def slices(column: pa.Array, limit: int = SLICE_BYTES, rows: int = 1 << 14) -> Iterator[Slice]:
+    """Cut a string column into slices of at most ``rows`` rows; a null is an empty text."""
     values = pc.fill_null(column.cast(pa.large_binary()), b"")
     if isinstance(values, pa.ChunkedArray):
         values = values.combine_chunks()
@@ -69,7 +69,7 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
     first = 0
     while first < len(values):
         last = int(np.searchsorted(at, at[first] + limit, side="right")) - 1
-        last = min(max(last, first + 1), len(values))
+        last = min(max(last, first + 1), first + rows, len(values))
         yield Slice(first, last, bytes_[at[first] : at[last]], at[first : last + 1] - at[first])
         first = last
 
