@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import language, licenses, mixing, pieces, quality
+from tokenloom.llm import language, lattice, licenses, minhash, mixing, pieces, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,13 @@ def op4(spark, sf_dir):
     fold = F.coalesce(language.held_out(), F.lit(False))
     model = language.fit(docs.where(~language.held_out()))
     return language.predict(docs, model, keep={"held_out": fold})
+
+
+@query("op3_minhash_dedup")
+def op3(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op2_lattice_dedup")
+def op2(spark, sf_dir):
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
