@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import language, lattice, licenses, minhash, mixing, pieces, quality
+from tokenloom.llm import html, language, lattice, licenses, minhash, mixing, pieces, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +91,8 @@ def op3(spark, sf_dir):
 @query("op2_lattice_dedup")
 def op2(spark, sf_dir):
     return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op9_html_extraction")
+def op9(spark, sf_dir):
+    return html.extract(table(spark, sf_dir, "pages"))
