@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import html, language, lattice, licenses, minhash, mixing, pieces, quality
+from tokenloom.llm import html, language, lattice, licenses, minhash, mixing, pieces, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,3 +96,10 @@ def op2(spark, sf_dir):
 @query("op9_html_extraction")
 def op9(spark, sf_dir):
     return html.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op6_toxicity")
+def op6(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~language.held_out())
+    return toxicity.score(docs, model, keep={"held_out": F.coalesce(language.held_out(), F.lit(False))})
