@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import html, language, lattice, licenses, minhash, mixing, pieces, quality, toxicity
+from tokenloom.llm import html, language, lattice, licenses, minhash, mixing, pieces, quality, repeats, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,3 +103,9 @@ def op6(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~language.held_out())
     return toxicity.score(docs, model, keep={"held_out": F.coalesce(language.held_out(), F.lit(False))})
+
+
+@query("op8_suffix_dedup")
+def op8(spark, sf_dir):
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

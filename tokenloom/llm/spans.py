@@ -98,6 +98,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash base and of its inverse, at least ``n`` of each."""
+    return _powers(1 << max(16, int(n).bit_length()))
+
+
 @lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(n, _BASE), np.full(n, _INVERSE)
@@ -107,8 +112,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each byte span, the same wherever the span stands."""
-    size = 1 << max(16, int(len(data)).bit_length())
-    up, down = _powers(size)
+    up, down = powers(len(data))
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64, out=total[1:])
     return mix((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64))
