@@ -46,6 +46,9 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 # --- documents ------------------------------------------------------------------------------------------------------
 
 _SPACE_CLASS = r"[\t\n\x0b\f\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: More turns than a conversation can have; keeps the ids of rollouts apart.
+TURNS = 1 << 20
+
 SQL_STRIP = rf"regexp_replace(text, '^{_SPACE_CLASS}+|{_SPACE_CLASS}+$', '', 'g')"
 
 SQL_CORPUS = """corpus AS (
@@ -104,7 +107,7 @@ def chunk_keys(spark: SparkSession, sf: str) -> DataFrame:
 # --- conversations --------------------------------------------------------------------------------------------------
 
 SQL_ROLLOUTS = f"""turns AS (
-  SELECT u.conv_id * 1000 + u.turn AS rollout_id, u.conv_id, u.text AS q, a.text AS r
+  SELECT u.conv_id * 1048576 + u.turn AS rollout_id, u.conv_id, u.text AS q, a.text AS r
   FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
   WHERE u.role = 'user' AND a.role = 'assistant'),
 rollout_ids AS (
@@ -182,7 +185,7 @@ def rollout_rows(spark: SparkSession, sf: str) -> DataFrame:
     return (
         user.join(answer, ["conv_id", "turn"])
         .select(
-            (F.col("conv_id") * 1000 + F.col("turn")).alias("rollout_id"),
+            (F.col("conv_id") * TURNS + F.col("turn")).alias("rollout_id"),
             "conv_id",
             add_bos_eos(byte_tokenize(F.col("q")), bos=True).alias("query_ids"),
             add_bos_eos(byte_tokenize(F.col("r")), bos=False, eos=True).alias("response_ids"),
@@ -203,11 +206,11 @@ def rollout_cells(spark: SparkSession, sf: str) -> DataFrame:
     rows = rows.withColumn("ids", ids).withColumn(
         "mask", response_mask(F.col("query_ids"), F.col("response_ids"), attention)
     )
-    key, spread = ["rollout_id"], ["rollout_id", "pos"]
+    key = ["rollout_id"]
     cells = scoring.token_pairs(rows, key, "ids")
-    cells = scoring.score_pairs(cells, counts_train, BYTE_VOCAB, "logprobs", spread, with_entropy=True)
-    cells = scoring.score_unigrams(cells, counts_train, BYTE_VOCAB, "ref_logprobs", spread)
-    cells = scoring.score_pairs(cells, counts_all, BYTE_VOCAB, "new_logprobs", spread)
+    cells = scoring.score_pairs(cells, counts_train, BYTE_VOCAB, "logprobs", with_entropy=True)
+    cells = scoring.score_unigrams(cells, counts_train, BYTE_VOCAB, "ref_logprobs")
+    cells = scoring.score_pairs(cells, counts_all, BYTE_VOCAB, "new_logprobs")
     scored = rollouts.gather_cells(cells, key, ["logprobs", "ref_logprobs", "new_logprobs", "entropy"])
     band = F.least(F.floor(F.size("response_ids") / 200), F.lit(9))
     banded = rows.withColumn("band", band)

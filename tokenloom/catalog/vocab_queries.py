@@ -15,8 +15,8 @@ SQL_WORDS = f"""{t.SQL_CORPUS},
 clean AS (SELECT shard_id, doc_pos, {t.SQL_STRIP} AS text FROM corpus),
 lines AS (
   SELECT unnest(regexp_extract_all('{MARK}' || replace(replace(text, ' ', '{MARK}'), chr(10), chr(10) || '{MARK}'),
-    '[\\n\\x01\\x02]|[0-9０-９]|{MARK}?[^{MARK}0-9０-９\\n\\x01\\x02]+|{MARK}')) AS word
-  FROM clean WHERE length(text) > 0 AND shard_id < 10),
+    '[\\n\\x01\\x02]|[0-9０-９]|{MARK}*[^{MARK}0-9０-９\\n\\x01\\x02]+|{MARK}+')) AS word
+  FROM clean WHERE length(text) > 0),
 words AS (SELECT word, count(*) AS cnt FROM lines WHERE word NOT IN (chr(10), chr(1), chr(2)) GROUP BY word)"""
 
 SQL_CHARS = f"""{SQL_WORDS},
@@ -38,8 +38,10 @@ def clean(spark, sf):
     return t.corpus(spark, sf).withColumn("text", strip_text(F.col("text")))
 
 
-def training_words(spark, sf):
-    return V.word_counts(C.first_shards(clean(spark, sf)))
+def training_words(spark, sf, shards=None):
+    """Words of the whole corpus, or of its first ``shards``."""
+    docs = clean(spark, sf)
+    return V.word_counts(docs if shards is None else C.first_shards(docs, shards))
 
 
 @t.derived

@@ -56,7 +56,7 @@ def pack_sequences(df: DataFrame, length: int, width: int = BUCKET_WIDTH) -> Dat
     first = F.greatest(F.floor((start - 1) / L), F.lit(0)).cast("long")
     last = F.floor((end - 1) / L).cast("long")
     counts = chunk_counts(df, length).select("shard_id", "chunks")
-    located = lookup(token_offsets(df, width), counts, ["shard_id"], spread=["doc_pos"])
+    located = lookup(token_offsets(df, width), counts, ["shard_id"])
     upto = F.least(last, F.col("chunks") - 1)
     low = F.greatest(start, F.col("chunk_id") * L)
     high = F.least(end, F.col("chunk_id") * L + L + 1)
@@ -83,8 +83,11 @@ def shift_xy(df: DataFrame, length: int) -> DataFrame:
 
 
 def training_examples(df: DataFrame, length: int, width: int = BUCKET_WIDTH) -> DataFrame:
-    """(split, shard_id, chunk_id, x, y) rows of a token table."""
+    """(split, shard_id, chunk_id, x, y) rows of a token table. A shard too small for a chunk fails the job."""
     examples = shift_xy(pack_sequences(df, length, width), length)
+    message = F.concat(F.lit("shard too small for a chunk: "), F.col("shard_id").cast("string"))
+    failed = short_shards(df, length).select(F.raise_error(message).cast("boolean").alias("failed")).agg(F.bool_or("failed").alias("failed")).scalar()
+    examples = examples.where(F.coalesce(failed, F.lit(True)))
     return examples.select(split_name(F.col("shard_id")).alias("split"), "shard_id", "chunk_id", "x", "y")
 
 
@@ -147,9 +150,8 @@ def assign_batches(df: DataFrame, batch_size: int, digits: int = 3) -> DataFrame
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     before = counts.select(*shard, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    spread = ["chunk_key"]
     return (
-        lookup(placed, before, shard, spread=spread)
+        lookup(placed, before, shard)
         .withColumn("stream_pos", F.col("_before") + F.col("_in_shard"))
         .withColumn("batch_id", F.floor(F.col("stream_pos") / F.lit(batch_size)).cast("long"))
         .drop("_before", "_in_shard")

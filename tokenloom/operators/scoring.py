@@ -48,7 +48,7 @@ def token_pairs(df: DataFrame, key: Sequence[str], ids: str) -> DataFrame:
 
 
 def score_pairs(
-    pairs: DataFrame, counts: DataFrame, vocab_size: int, name: str, spread: Sequence[str], with_entropy: bool = False
+    pairs: DataFrame, counts: DataFrame, vocab_size: int, name: str, with_entropy: bool = False
 ) -> DataFrame:
     """Add the add-one smoothed log-probability ``name`` of every pair under a table of next-token counts.
 
@@ -58,8 +58,8 @@ def score_pairs(
     contexts = context_stats(counts, vocab_size)
     if not with_entropy:
         contexts = contexts.drop("entropy")
-    found = lookup(pairs, counts, ["context", "next"], "left", spread=spread)
-    found = lookup(found, contexts, ["context"], "left", spread=spread)
+    found = lookup(pairs, counts, ["context", "next"], "left")
+    found = lookup(found, contexts, ["context"], "left")
     seen = F.coalesce(F.col("cnt"), F.lit(0)) + 1
     mass = F.coalesce(F.col("context_cnt"), F.lit(0)) + F.lit(vocab_size)
     scored = found.withColumn(name, F.ln(seen / mass))
@@ -69,11 +69,11 @@ def score_pairs(
     return scored.drop("cnt", "context_cnt")
 
 
-def score_unigrams(pairs: DataFrame, counts: DataFrame, vocab_size: int, name: str, spread: Sequence[str]) -> DataFrame:
+def score_unigrams(pairs: DataFrame, counts: DataFrame, vocab_size: int, name: str) -> DataFrame:
     """Add the add-one smoothed log-probability of the next token alone."""
     single = counts.groupBy("next").agg(F.sum("cnt").alias("cnt"))
     held = pairs.withColumn("_all", counts.agg(F.sum("cnt")).scalar())
-    found = lookup(held, single, ["next"], "left", spread=spread)
+    found = lookup(held, single, ["next"], "left")
     seen = F.coalesce(F.col("cnt"), F.lit(0)) + 1
     return found.withColumn(name, F.ln(seen / (F.col("_all") + F.lit(vocab_size)))).drop("cnt", "_all")
 

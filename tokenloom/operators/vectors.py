@@ -19,7 +19,7 @@ COLUMN_SUFFIXES = (".attention.wo.weight", ".feed_forward.w2.weight")
 def embedding_lookup(tokens: DataFrame, vectors: DataFrame, key: Sequence[str], ids: str = "ids") -> DataFrame:
     """One vector per token: (key, pos, id, embedding). An id without a vector fails the job."""
     long = tokens.select(*key, F.posexplode(ids).alias("pos", "id"))
-    found = lookup(long, vectors.select("id", "embedding"), ["id"], "left", spread=[*key, "pos"])
+    found = lookup(long, vectors.select("id", "embedding"), ["id"], "left")
     missing = F.raise_error(F.lit("a token id has no vector")).cast(vectors.schema["embedding"].dataType)
     return found.withColumn(
         "embedding", F.when(F.col("embedding").isNull(), missing).otherwise(F.col("embedding"))
@@ -28,10 +28,11 @@ def embedding_lookup(tokens: DataFrame, vectors: DataFrame, key: Sequence[str],
 
 def key_diff(have: DataFrame, want: DataFrame, key: str) -> DataFrame:
     """Keys that are wanted but absent (``missing``) and present but not wanted (``unexpected``)."""
-    here, there = have.select(key).distinct(), want.select(key).distinct()
-    missing = there.join(here, key, "left_anti").withColumn("status", F.lit("missing"))
-    unexpected = here.join(there, key, "left_anti").withColumn("status", F.lit("unexpected"))
-    return missing.unionByName(unexpected)
+    here = have.select(key, F.lit(True).alias("_here"), F.lit(False).alias("_there"))
+    there = want.select(key, F.lit(False).alias("_here"), F.lit(True).alias("_there"))
+    sides = here.unionByName(there).groupBy(key).agg(F.bool_or("_here").alias("_here"), F.bool_or("_there").alias("_there"))
+    status = F.when(F.col("_here"), F.lit("unexpected")).otherwise(F.lit("missing"))
+    return sides.where(F.col("_here") != F.col("_there")).select(key, status.alias("status"))
 
 
 def _by_columns():
@@ -51,7 +52,7 @@ def merge_vector_shards(parts: DataFrame, width: int = BUCKET_WIDTH) -> DataFram
     the parts of one row, row-split matrices get running row numbers in (part, row) order.
     """
     first = parts.groupBy("name").agg(F.min("part").alias("_first"), F.max("part").alias("_last"))
-    known = lookup(parts, first, ["name"], spread=["part", "row_idx"])
+    known = lookup(parts, first, ["name"])
     single = (F.col("ndim") == 1) | (F.col("_first") == F.col("_last"))
     columns = ["name", "ndim", "row_idx", "vec"]
     taken = known.where(single & (F.col("part") == F.col("_first"))).select(*columns)

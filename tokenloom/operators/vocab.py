@@ -30,9 +30,10 @@ OPEN, CLOSE = "\x01", "\x02"
 VOCAB_SCHEMA = "id INT, piece STRING, score FLOAT, kind STRING"
 MERGE_SCHEMA = "rank INT, left STRING, right STRING"
 
-# A word is one digit, or a run without spaces and digits with the space before it. Line ends and the symbol delimiters
-# stand alone: they are never part of a learned piece and are encoded as bytes.
-WORD = rf"[\n\x01\x02]|[0-9０-９]|{SPACE}?[^{SPACE}0-9０-９\n\x01\x02]+|{SPACE}"
+# A word is one digit, or a run without spaces and digits with all the spaces before it, so pieces of spaces alone can be
+# learned. Line ends and the symbol delimiters stand alone: they are never part of a learned piece and become bytes.
+WORD = rf"[\n\x01\x02]|[0-9０-９]|{SPACE}*[^{SPACE}0-9０-９\n\x01\x02]+|{SPACE}+"
+SPACES = f"{SPACE}+"
 ALONE = r"([0-9０-９\n])"
 
 CANDIDATES_PER_ROUND = 256
@@ -45,7 +46,7 @@ def _split_words(marked: Column) -> Column:
     One replacement puts a delimiter around the characters that stand alone and the text is split at it, which is
     several times faster than matching every word. Texts that contain a delimiter themselves take the slow way.
     """
-    at_spaces = F.replace(marked, F.lit(SPACE), F.lit(OPEN + SPACE))
+    at_spaces = F.regexp_replace(marked, SPACES, f"{OPEN}$0")
     around = F.regexp_replace(at_spaces, ALONE, f"{OPEN}$1{OPEN}")
     quick = F.filter(F.split(around, OPEN), lambda w: w != "")
     return F.when(
@@ -300,26 +301,27 @@ def segment_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return words.withColumn("word_ids", to_ids("word"))
 
 
-# Head of the dictionary that is broadcast: the most frequent words of limited length, so its size is bounded.
+# Head of the dictionary that is broadcast: the most frequent words, as many as these two bounds allow.
 HEAD_WORDS = 200_000
-HEAD_WORD_LENGTH = 64
+HEAD_BYTES = 32 * 1024 * 1024
 
 
 def dictionary_head(dictionary: DataFrame, head_words: int) -> DataFrame:
-    """The most frequent words, at most ``head_words`` of them.
+    """The most frequent words, at most ``head_words`` of them and ``HEAD_BYTES`` with their ids.
 
-    The cut is a power of two of the word count, read from a histogram of at most 64 rows: no global sort.
+    The cut is a power of two of the word count, read from a histogram of at most 64 rows: no global sort. A long word
+    is in the head as any other when it is frequent.
     """
-    short = dictionary.where(F.length("word") <= HEAD_WORD_LENGTH)
     power = F.floor(F.log2("cnt")).cast("int")
-    histogram = short.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("n")).collect()
-    taken, cut = 0, None
+    size = F.octet_length("word") + 4 * F.size("word_ids")
+    histogram = dictionary.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")).collect()
+    taken, held, cut = 0, 0, None
     for row in sorted(histogram, key=lambda r: -r["power"]):
-        taken += row["n"]
-        if taken > head_words:
+        taken, held = taken + row["n"], held + row["bytes"]
+        if taken > head_words or held > HEAD_BYTES:
             break
         cut = row["power"]
-    kept = short.where(power >= cut) if cut is not None else short.where(F.lit(False))
+    kept = dictionary.where(power >= cut) if cut is not None else dictionary.where(F.lit(False))
     return kept.select("word", "word_ids")
 
 
@@ -328,9 +330,8 @@ def encode_corpus(
 ) -> DataFrame:
     """(shard_id, doc_pos, text) to (shard_id, doc_pos, ids, n_tokens).
 
-    Distinct words are segmented once. Occurrences of frequent words meet a broadcast dictionary; only the rest, rare
-    by definition and so without hot keys, is shuffled by word. Words of a document come together again in one
-    aggregate whose map side already collects them.
+    Distinct words are segmented once. Occurrences of frequent words meet a broadcast dictionary, the rest is shuffled
+    by word. Words of a document come together again in one aggregate whose map side already collects them.
     """
     key = ["shard_id", "doc_pos"]
     counted = spread_small(staged(word_counts(docs, training=False), "words"), "word")

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 64
 
 
 def fits_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -23,33 +21,21 @@ def fits_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes:
     return size["n"] <= max_rows and size["bytes"] <= max_bytes
 
 
-def _spread_columns(df: DataFrame, on: Sequence[str]) -> list[str]:
-    nested = (T.ArrayType, T.MapType, T.StructType)
-    return [f.name for f in df.schema.fields if f.name not in on and not isinstance(f.dataType, nested)]
-
-
 def lookup(
     df: DataFrame,
     small: DataFrame,
     on: Sequence[str],
     how: str = "inner",
     *,
-    spread: Sequence[str | Column] | None = None,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``df`` to ``small``, which holds one row per key.
 
-    Within the limits ``small`` is broadcast and ``df`` does not move. Beyond them both sides are shuffled on
-    (key, salt): the rows of a hot key are spread over ``SALTS`` tasks by a hash of ``spread`` (columns that tell
-    rows of one key apart) and ``small`` is repeated once per salt.
+    Within the limits ``small`` is broadcast and ``df`` does not move. Beyond them both are shuffled by key, and the
+    adaptive planner splits the partitions that a hot key fills: only the rows of ``small`` that belong to those
+    partitions are read more than once, cold keys never.
     """
-    on = list(on)
     if fits_broadcast(small, max_rows, max_bytes):
-        return df.join(F.broadcast(small), on, how)
-    spread = list(spread) if spread is not None else _spread_columns(df, on)
-    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int") if spread else F.lit(0)
-    salts = F.array(*[F.lit(i) for i in range(SALTS)]) if spread else F.array(F.lit(0))
-    salted = df.withColumn("_salt", salt)
-    copies = small.withColumn("_salt", F.explode(salts))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+        small = F.broadcast(small)
+    return df.join(small, list(on), how)

@@ -17,6 +17,13 @@ from tokenloom.plans.staging import staged
 BUCKET_WIDTH = 1 << 16
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join on columns of the same names where two NULLs are equal, so a group without a key keeps its rows."""
+    renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in on})
+    condition = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on]
+    return left.join(renamed, condition).drop(*[f"_right_{c}" for c in on])
+
+
 def blocks(position: Column | str, width: int = BUCKET_WIDTH) -> Column:
     """Bucket number of an integer position; at most ``width`` rows per bucket when positions are unique."""
     position = F.col(position) if isinstance(position, str) else position
@@ -60,8 +67,7 @@ def running(
         "last": F.coalesce(local, carried),
     }[kind]
     return (
-        cut.withColumn("_local", aggregate("_value").over(inside))
-        .join(carry, [*group, *cuts])
+        join_null_safe(cut.withColumn("_local", aggregate("_value").over(inside)), carry, [*group, *cuts])
         .withColumn(name, combined)
         .drop(*cuts, "_value", "_local", "_carry")
     )
@@ -102,7 +108,7 @@ def ordered_position(df: DataFrame, *, group: Sequence[str], order: Sequence[str
         *group, "_part", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
     )
     return (
-        ranged.join(starts, [*group, "_part"])
+        join_null_safe(ranged, starts, [*group, "_part"])
         .withColumn(name, F.col("_before") + F.col("_place") - F.col("_first"))
         .drop("_place", "_part", "_first", "_before")
     )

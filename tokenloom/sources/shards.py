@@ -73,24 +73,19 @@ def preview(df: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:
     return df.where(F.col("shard_id") == 0).orderBy("doc_pos").limit(rows)
 
 
-def text_sample_size(df: DataFrame, num_shards: int) -> DataFrame:
-    """Documents and size in MB of the text sample: one line end per document."""
-    sample = df.where(F.col("shard_id") < num_shards)
-    total = F.sum(F.octet_length("text") + F.lit(1).cast("long"))
-    return sample.agg(F.count(F.lit(1)).alias("docs"), (total / F.lit(1024 * 1024)).alias("size_mb"))
-
-
 def write_text_sample(df: DataFrame, num_shards: int, path: str) -> DataFrame:
-    """Write the documents of the first shards as text and report the size."""
+    """Write the documents of the first shards as text; lines and size in MB of what was written."""
     df.where(F.col("shard_id") < num_shards).select("text").write.mode("overwrite").text(path)
-    return text_sample_size(df, num_shards)
+    written = df.sparkSession.read.option("lineSep", "\n").text(path)
+    total = F.sum(F.octet_length("value") + F.lit(1).cast("long"))
+    return written.agg(F.count(F.lit(1)).alias("lines"), (total / F.lit(1024 * 1024)).alias("size_mb"))
 
 
 def write_token_shards(df: DataFrame, vocab: str, path: str, docs_per_file: int = 1 << 20) -> None:
     """Write one row per document, partitioned by vocabulary and shard.
 
     Rows are gathered per (shard, block of documents), so a large shard is written by many tasks and a small one by
-    one. Ids that do not fit 16 bits fail the job.
+    one. Shards that are written again are replaced, others stay. Ids that do not fit 16 bits fail the job.
     """
     checked = F.when(out_of_range(F.col("ids")), F.raise_error(F.lit("a token id does not fit 16 bits")))
     n_tokens = F.col("n_tokens") if "n_tokens" in df.columns else F.size("ids")
@@ -106,7 +101,8 @@ def write_token_shards(df: DataFrame, vocab: str, path: str, docs_per_file: int
         .repartition("shard_id", "_block")
         .sortWithinPartitions("shard_id", "doc_pos")
         .drop("_block")
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", docs_per_file)
         .partitionBy("vocab", "shard_id")
         .parquet(path)
@@ -134,6 +130,12 @@ def vocab_name(vocab_source: str, vocab_size: int = 0) -> str:
 
 
 def materialize_once(df: DataFrame, path: str) -> DataFrame:
-    """Compute a stage unless its output exists already, then read the output."""
-    df.write.mode("ignore").parquet(path)
+    """Compute a stage unless its complete output exists already, then read the output.
+
+    Only the mark of a committed write counts: what an aborted one has left is written anew.
+    """
+    spark = df.sparkSession
+    mark = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    if not mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

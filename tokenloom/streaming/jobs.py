@@ -57,14 +57,14 @@ def _with_tails(batch: DataFrame, state: DataFrame) -> DataFrame:
 def _pack_step(length: int):
     def step(batch: DataFrame, state: DataFrame) -> DataFrame:
         packed = packing.pack_sequences(_with_tails(batch, state), length)
-        numbered = lookup(packed, state.select("shard_id", "next_chunk"), ["shard_id"], "left", spread=["chunk_id"])
+        numbered = lookup(packed, state.select("shard_id", "next_chunk"), ["shard_id"], "left")
         chunk_id = F.col("chunk_id") + F.coalesce("next_chunk", F.lit(0))
         return numbered.select("shard_id", chunk_id.alias("chunk_id"), "chunk")
 
     def carry(batch: DataFrame, state: DataFrame, written: DataFrame) -> DataFrame:
         docs = _with_tails(batch, state)
         counts = packing.chunk_counts(docs, length).select("shard_id", "chunks")
-        located = lookup(packing.token_offsets(docs), counts, ["shard_id"], spread=["doc_pos"])
+        located = lookup(packing.token_offsets(docs), counts, ["shard_id"])
         used = F.col("chunks") * F.lit(length)
         end = F.col("start") + F.col("n_tokens")
         skip = F.greatest(used - F.col("start"), F.lit(0)).cast("int")
@@ -110,7 +110,7 @@ def stream_kl_controller(log: DataFrame, start: float, target: float, horizon: i
 
     def step(batch: DataFrame, state: DataFrame) -> DataFrame:
         scaled = kl_controller(batch, 1.0, target, horizon).withColumnRenamed("kl_coef", "_factor")
-        known = lookup(scaled, state, ["run_id"], "left", spread=["step"])
+        known = lookup(scaled, state, ["run_id"], "left")
         return known.withColumn("kl_coef", F.col("_factor") * F.coalesce("kl_coef", F.lit(start))).drop("_factor")
 
     def carry(batch: DataFrame, state: DataFrame, written: DataFrame) -> DataFrame:
@@ -126,7 +126,7 @@ def stream_best_checkpoint(log: DataFrame, folder: str) -> StreamingQuery:
     """Checkpoint decisions at evaluation steps, one carried best loss per run."""
 
     def step(batch: DataFrame, state: DataFrame) -> DataFrame:
-        known = lookup(best_checkpoint(batch), state, ["run_id"], "left", spread=["step"])
+        known = lookup(best_checkpoint(batch), state, ["run_id"], "left")
         before = F.least("best_before", F.coalesce("best", F.lit(START_LOSS)))
         return (
             known.withColumn("best_before", before)
