@@ -8,7 +8,7 @@ from tokenloom.functions.text import strip_text
 from tokenloom.operators import corpus as C
 from tokenloom.operators import vocab as V
 
-VOCAB_SIZE = 384
+VOCAB_SIZE = 512
 MARK = V.SPACE
 
 SQL_WORDS = f"""{t.SQL_CORPUS},
@@ -99,13 +99,42 @@ def bpe_step(spark, sf):
     return V.bpe_step(words, best["left"], best["right"])
 
 
-@query("train_bpe")
+# One round of the recursion is one merge over the table of distinct words, as many as the vocabulary has room for.
+SQL_TRAINED = f"""RECURSIVE {SQL_CHARS},
+rounds AS (
+  SELECT 0 AS k, cnt, array_to_string(list_transform(regexp_extract_all(word, '(?s).'), lambda c: chr(1) || c || chr(2)), '')
+    AS symbols, '' AS l, '' AS r FROM words WHERE length(word) > 1
+  UNION ALL
+  SELECT k + 1, cnt, replace(symbols, chr(1) || b.l || chr(2) || chr(1) || b.r || chr(2), chr(1) || b.l || b.r || chr(2)), b.l, b.r
+  FROM rounds CROSS JOIN (
+    SELECT l, r FROM (
+      SELECT s[i] AS l, s[i + 1] AS r, sum(cnt) AS n FROM (
+        SELECT cnt, s, unnest(range(1, len(s))) AS i FROM (
+          SELECT cnt, string_split(substr(symbols, 2, length(symbols) - 2), chr(2) || chr(1)) AS s FROM rounds))
+      GROUP BY ALL)
+    ORDER BY n DESC, length(l || r), l || r, l LIMIT 1) b
+  WHERE k < {VOCAB_SIZE} - {V.FIRST_FREE_ID} - (SELECT count(*) FROM chars)),
+merges AS (SELECT k - 1 AS rank, any_value(l) AS l, any_value(r) AS r FROM rounds WHERE k > 0 GROUP BY k)"""
+
+
+@query(
+    "train_bpe",
+    f"""WITH {SQL_TRAINED}, pieces AS (
+      SELECT 0 AS part, rank AS ord, l || r AS piece, 'merge' AS kind FROM merges
+      UNION ALL SELECT 1, row_number() OVER (ORDER BY cnt DESC, ch), ch, 'char' FROM chars),
+    vocab AS (
+      SELECT 0 AS id, '<unk>' AS piece, 0 AS score, 'unk' AS kind UNION ALL SELECT 1, '<s>', 0, 'bos'
+      UNION ALL SELECT 2, '</s>', 0, 'eos'
+      UNION ALL SELECT b + 3, '<0x' || upper(lpad(to_base(b, 16), 2, '0')) || '>', 0, 'byte' FROM range(256) r(b)
+      UNION ALL SELECT 258 + row_number() OVER (ORDER BY part, ord), piece, 1 - row_number() OVER (ORDER BY part, ord), kind FROM pieces)
+    SELECT CAST(id AS INTEGER) AS id, piece, CAST(score AS FLOAT) AS score, kind FROM vocab""",
+)
 def train_bpe(spark, sf):
-    """The trained vocabulary; a loop over the whole word table, so no SQL twin."""
+    """The trained vocabulary; the twin merges one pair at a time and holds as long as no merge spells a known piece."""
     return trained(spark, sf).vocab
 
 
-@query("train_bpe_merges")
+@query("train_bpe_merges", f'WITH {SQL_TRAINED} SELECT CAST(rank AS INTEGER) AS rank, l AS "left", r AS "right" FROM merges')
 def train_bpe_merges(spark, sf):
     return trained(spark, sf).merges
 

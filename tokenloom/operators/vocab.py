@@ -1,14 +1,15 @@
 """Subword vocabulary: counting, training by pair merges, encoding and decoding.
 
-The corpus is scanned once for word counts. Training then works on the table of distinct words, encoding on the table
-of distinct words plus two joins. The driver only ever sees the best pairs of a round and the finished vocabulary,
-both bounded by parameters.
+The corpus is scanned once for word counts. Training then works on the table of distinct words, encoding on the rows as
+they are. The driver only ever sees the best pairs of a round and the finished vocabulary, both bounded by parameters.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -253,101 +254,78 @@ def _without_rare_chars(words: DataFrame, chars: list[str], coverage: float) ->
     return parts.groupBy("word").agg(F.sum("cnt").alias("cnt"))
 
 
-def _segmenter(merges: list[tuple[str, str]], ids: dict[str, int]):
-    """Word to ids by replaying the merges in rank order; a character without a piece falls back to its bytes."""
-    rank = {pair: i for i, pair in enumerate(merges)}
-
-    def segment(word: str) -> list[int]:
-        symbols = list(word)
-        while len(symbols) > 1:
-            found = [(rank[p], i) for i, p in enumerate(zip(symbols, symbols[1:])) if p in rank]
-            if not found:
-                break
-            best = min(found)[0]
-            left, right = merges[best]
-            joined, i = [], 0
-            while i < len(symbols):
-                if i + 1 < len(symbols) and symbols[i] == left and symbols[i + 1] == right:
-                    joined.append(left + right)
-                    i += 2
-                else:
-                    joined.append(symbols[i])
-                    i += 1
-            symbols = joined
-        out: list[int] = []
-        for s in symbols:
-            out += [ids[s]] if s in ids else [b + BYTE_OFFSET for b in s.encode("utf-8")]
-        return out
+# Words whose ids a task remembers; longer words are not remembered.
+CACHED_WORDS, CACHED_LENGTH = 200_000, 64
+
 
-    return segment
+class Segmenter(dict):
+    """Word to ids by the merges in rank order; a character without a piece falls back to its bytes.
 
+    Pairs wait in a heap, so a word of n characters costs n log n however long it is. Frequent words are remembered.
+    """
 
-def segment_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(word, cnt) to (word, cnt, word_ids): the one pass that leaves the JVM, over distinct words only.
+    def __init__(self, merges: list[tuple[str, str]], ids: dict[str, int]) -> None:
+        super().__init__()
+        self.rank = {pair: i for i, pair in enumerate(merges)}
+        self.ids = ids
 
-    The merge list and the pieces travel with the tasks; both are bounded by the vocabulary size.
+    def __missing__(self, word: str) -> list[int]:
+        out: list[int] = []
+        for s in self.symbols(word):
+            known = self.ids.get(s)
+            out += [known] if known is not None else [b + BYTE_OFFSET for b in s.encode("utf-8")]
+        if len(word) <= CACHED_LENGTH:
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            self[word] = out
+        return out
+
+    def symbols(self, word: str) -> list[str]:
+        symbol: list[str | None] = list(word)
+        n = len(symbol)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i in range(n - 1) if (r := self.rank.get((symbol[i], symbol[i + 1]))) is not None]
+        heapify(heap)
+        while heap:
+            r, i = heappop(heap)
+            j = after[i]
+            if symbol[i] is None or j >= n or self.rank.get((symbol[i], symbol[j])) != r:
+                continue  # one of the two has been merged meanwhile
+            symbol[i] += symbol[j]
+            symbol[j] = None
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for left, right in ((before[i], i), (i, after[i])):
+                if left >= 0 and right < n and (r := self.rank.get((symbol[left], symbol[right]))) is not None:
+                    heappush(heap, (r, left))
+        return [s for s in symbol if s is not None]
+
+
+def encode_corpus(docs: DataFrame, vocabulary: Vocabulary, bos: bool = True, eos: bool = False) -> DataFrame:
+    """(shard_id, doc_pos, text) to (shard_id, doc_pos, ids, n_tokens).
+
+    Rows stay where they are: one Arrow pass over the texts with the merges, whose number the vocabulary size bounds,
+    and a cache of words per task. No word occurrence is shuffled, so a frequent word is no hot key.
     """
     merges = [(r["left"], r["right"]) for r in vocabulary.merges.orderBy("rank").collect()]
     pieces = vocabulary.vocab.where(F.col("kind").isin("char", "merge")).collect()
     ids = {r["piece"]: r["id"] for r in pieces}
-    shared = words.sparkSession.sparkContext.broadcast((merges, ids))
+    shared = docs.sparkSession.sparkContext.broadcast((merges, ids))
 
     @F.pandas_udf("array<int>")
     def to_ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        segment = _segmenter(*shared.value)
+        segment, word = Segmenter(*shared.value), re.compile(WORD)
         for batch in batches:
-            yield batch.map(segment)
-
-    return words.withColumn("word_ids", to_ids("word"))
-
-
-# Head of the dictionary that is broadcast: the most frequent words, as many as these two bounds allow.
-HEAD_WORDS = 200_000
-HEAD_BYTES = 32 * 1024 * 1024
-
-
-def dictionary_head(dictionary: DataFrame, head_words: int) -> DataFrame:
-    """The most frequent words, at most ``head_words`` of them and ``HEAD_BYTES`` with their ids.
-
-    The cut is a power of two of the word count, read from a histogram of at most 64 rows: no global sort. A long word
-    is in the head as any other when it is frequent.
-    """
-    power = F.floor(F.log2("cnt")).cast("int")
-    size = F.octet_length("word") + 4 * F.size("word_ids")
-    histogram = dictionary.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")).collect()
-    taken, held, cut = 0, 0, None
-    for row in sorted(histogram, key=lambda r: -r["power"]):
-        taken, held = taken + row["n"], held + row["bytes"]
-        if taken > head_words or held > HEAD_BYTES:
-            break
-        cut = row["power"]
-    kept = dictionary.where(power >= cut) if cut is not None else dictionary.where(F.lit(False))
-    return kept.select("word", "word_ids")
-
-
-def encode_corpus(
-    docs: DataFrame, vocabulary: Vocabulary, bos: bool = True, eos: bool = False, head_words: int = HEAD_WORDS
-) -> DataFrame:
-    """(shard_id, doc_pos, text) to (shard_id, doc_pos, ids, n_tokens).
-
-    Distinct words are segmented once. Occurrences of frequent words meet a broadcast dictionary, the rest is shuffled
-    by word. Words of a document come together again in one aggregate whose map side already collects them.
-    """
-    key = ["shard_id", "doc_pos"]
-    counted = spread_small(staged(word_counts(docs, training=False), "words"), "word")
-    dictionary = staged(segment_words(counted, vocabulary), "dictionary")
-    head = staged(dictionary_head(dictionary, head_words), "head")
-    occurrences = docs.select(*key, F.posexplode(words_of(F.col("text"))).alias("pos", "word"))
-    frequent = occurrences.join(F.broadcast(head), "word")
-    rare_words = dictionary.select("word", "word_ids").join(F.broadcast(head.select("word")), "word", "left_anti")
-    rare = occurrences.join(F.broadcast(head.select("word")), "word", "left_anti").join(rare_words, "word")
-    columns = [*key, "pos", "word_ids"]
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "word_ids")))
-    encoded = frequent.select(*columns).unionByName(rare.select(*columns)).groupBy(*key).agg(ordered.alias("words"))
-    # A document without words appears in no occurrence; it still yields its border tokens.
-    empty = docs.where(F.length("text") == 0).select(*key, F.array().cast("array<int>").alias("ids"))
-    ids = encoded.select(*key, F.flatten("words.word_ids").alias("ids")).unionByName(empty)
-    return ids.select(*key, add_bos_eos(F.col("ids"), bos, eos).alias("ids")).withColumn("n_tokens", F.size("ids"))
+            yield pd.Series(
+                [
+                    None if text is None else [i for w in word.findall(SPACE + text.replace(" ", SPACE)) for i in segment[w]] if text else []
+                    for text in batch
+                ]
+            )
+
+    encoded = docs.select("shard_id", "doc_pos", add_bos_eos(to_ids("text"), bos, eos).alias("ids"))
+    return encoded.withColumn("n_tokens", F.size("ids"))
 
 
 def export_vocab(vocab: DataFrame) -> DataFrame:
