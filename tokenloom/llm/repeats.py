@@ -10,6 +10,8 @@ A byte goes if it lies in a string of ``LENGTH`` bytes that also starts in a doc
 3. A shard sorts the suffixes of its different segments by external induced sorting. Runs of suffixes that share
    ``LENGTH`` bytes are equal windows, and the smallest document of a run is where they were first.
 4. Spans are joined back to their documents and cut out.
+
+Texts move compressed, and once: both joins take them from the same shuffle.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -163,15 +166,31 @@ def _merged(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.nda
     return doc[at], begin[at], reach[np.r_[at[1:], len(doc)] - 1]
 
 
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last column, a text, compressed; null stays null."""
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        texts = batch.column(batch.num_columns - 1).cast(pa.binary())
+        packed = [None if t is None else press.compress(t) for t in texts.to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(packed, pa.binary())], batch.schema.names)
+
+
+def _texts(column: pa.Array) -> list[bytes]:
+    open_ = zstandard.ZstdDecompressor()
+    return [b"" if t is None else open_.decompress(t) for t in column.to_pylist()]
+
+
 def _segments(shards: int, length: int, gram: int):
     """Per batch: different segments with their smallest document (0), and spans that the batch settles itself (1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
+            batch = batch.filter(batch.column(2).is_valid())
             ids = np.asarray(batch.column(0), np.int64)
             wanted = batch.column(2)
             docs, begins, shard_of, texts = [], [], [], []
-            for part in S.slices(batch.column(1)):
+            for part in S.slices(pa.array(_texts(batch.column(1)), pa.large_binary())):
                 begin, end, row, key = minimizers(part, length, gram)
                 own = wanted.slice(part.first, part.rows)
                 flags = own.flatten().to_numpy(zero_copy_only=False).astype(np.uint64)
@@ -198,7 +217,7 @@ def _segments(shards: int, length: int, gram: int):
             for p, at in _by_part(shard[sent]):
                 at = sent[at]
                 own = [texts[i] for i in at.tolist()]
-                rows.append((p, 0, pack(doc[at]), pack(begin[at]), pack(np.array([len(t) for t in own], np.int64)), b"".join(own)))
+                rows.append((p, 0, pack(doc[at]), pack(begin[at]), pack(np.array([len(t) for t in own], np.int64)), press.compress(b"".join(own))))
             if settled:
                 at = np.array(settled, np.int64)
                 d, a, b = _merged(doc[at], begin[at], begin[at] + np.array([len(texts[i]) for i in settled], np.int64))
@@ -241,6 +260,7 @@ def _shard(length: int, memory: int):
             if kind == 1:
                 docs.append(d), begins.append(a), ends.append(a + n)
                 continue
+            data = zstandard.ZstdDecompressor().decompress(data)
             cuts = np.r_[0, np.cumsum(n)].tolist()
             seg += [number.setdefault(data[x:y], len(number)) for x, y in zip(cuts[:-1], cuts[1:])]
             doc.append(d), begin.append(a)
@@ -270,14 +290,24 @@ def _shard(length: int, memory: int):
     return run
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, memory: int = induced.MEMORY) -> DataFrame:
-    """``id, begin, end``: byte spans of ``texts`` (id, text) that repeat an earlier document; they may overlap."""
+def squeezed(texts: DataFrame) -> DataFrame:
+    """``texts`` (id first, text last) with the text compressed."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields[:-1])
+    return texts.mapInArrow(_squeeze, f"{fields}, packed binary")
+
+
+def repeated_spans(texts: DataFrame, packed: DataFrame, length: int = LENGTH, gram: int = GRAM, memory: int = induced.MEMORY) -> DataFrame:
+    """``id, begin, end``: byte spans of ``texts`` (id, text) that repeat an earlier document; they may overlap.
+
+    ``packed`` holds the same rows ``squeezed``; its columns between id and text are not looked at.
+    """
     width = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     known = texts.where("id IS NOT NULL AND text IS NOT NULL")
     counted = known.mapInArrow(_count(PARTS * width, length, gram), "part int, kind int, keys binary, docs binary")
     pairs = counted.groupBy("part").applyInArrow(_repeated, "id long, key long")
     wanted = pairs.groupBy("id").agg(F.collect_list("key").alias("keys"))
-    dealt = known.join(wanted, "id").select("id", "text", "keys").mapInArrow(
+    # an outer join, as the one that follows, so that the two share one shuffle of the texts
+    dealt = packed.join(wanted, "id", "left").select("id", "packed", "keys", *packed.columns[1:-1]).mapInArrow(
         _segments(SHARDS * width, length, gram), "part int, kind int, docs binary, begins binary, sizes binary, data binary"
     )
     return dealt.groupBy("part").applyInArrow(_shard(length, memory), "id long, begin long, end long")
@@ -288,10 +318,8 @@ def _cut(as_text: bool):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                raw = part.column(0).cast(pa.binary()).to_pylist()
                 size, gone, number, kept = [], [], [], []
-                for text, spans in zip(raw, part.column(1).to_pylist()):
-                    text = text or b""
+                for text, spans in zip(_texts(part.column(0)), part.column(1).to_pylist()):
                     size.append(len(text))
                     if not spans:
                         gone.append(0), number.append(0), kept.append(text)
@@ -320,10 +348,11 @@ def remove_repeats(
     as earlier than each other. A row with a null id keeps its text and is no source. Ties cannot occur between different
     ids. An empty table gives an empty result; columns not named are not read.
     """
-    id_ = F.col(id_column).cast("long").alias("id")
-    found = repeated_spans(docs.select(id_, F.col(text_column).cast("string").alias("text")), length, memory=memory)
-    spans = found.groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct("begin", "end")).alias("_spans"))
-    own = docs.select(F.col(text_column).cast("string").alias("_text"), F.col(id_column).cast("long").alias("_id"), *[c for c in (id_column, *keep)])
-    joined = own.join(spans, "_id", "left").select("_text", "_spans", id_column, *keep)
+    id_, text = F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text")
+    packed = squeezed(docs.select(id_, *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)], text))
+    found = repeated_spans(docs.select(id_, text), packed, length, memory=memory)
+    spans = found.groupBy("id").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    own = [F.col("id").cast(docs.schema[id_column].dataType).alias(id_column), *[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)]]
+    joined = packed.join(spans, "id", "left").select("packed", "spans", *own)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[2:])
     return joined.mapInArrow(_cut(as_text), f"{fields}, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}")
