@@ -139,8 +139,8 @@ def test_components(spark):
     rng = np.random.default_rng(1)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 160)] + [tuple(x) for x in rng.integers(200, 260, (40, 2)).tolist()] + [(300, 300)]
     got = {r.id: r.component_id for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    nodes = {x for a, b in edges if a != b for x in (a, b)}
-    assert got == plain.components(nodes, edges[:-1])
+    links = [(a, b) for a, b in edges if a != b]
+    assert got == plain.components({x for link in links for x in link}, links)
 
 
 @settings(max_examples=60, deadline=None)
