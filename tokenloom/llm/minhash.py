@@ -4,8 +4,9 @@
    the set, and a key per band of ``ROWS`` minima. Documents with equal sets are one class from here on.
 2. In each band bucket the smallest class is the hub, and every other member is a candidate with it. Candidates are
    verified on their signatures, then on their full sets; links join components by large-star and small-star.
-3. Two members of a bucket that both differ from its hub may still be alike. Buckets whose members are not all connected
-   are compared in full, block by block, with the sets at hand; only links leave a task.
+3. Two members of a bucket that both differ from its hub may still be alike. Where a bucket's members are not all
+   connected, those outside its largest component are compared with each other and with that component, block by block,
+   with the sets at hand; only links leave a task. Members of one component are never compared again.
 
 So no group emits its pairs, and no pair that shares a bucket stays unseen unless its ends are connected anyway. A pair
 at the threshold shares no bucket with probability (1 - threshold^ROWS)^BANDS, 1e-6 at 0.85.
@@ -50,11 +51,11 @@ def shingles(part: S.Slice, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]
     count = np.bincount(row, minlength=part.rows)
     first = np.cumsum(count) - count
     for r in np.flatnonzero((count > 0) & (count < width)):
-        h = np.uint64(count[r])
-        for w in words[first[r] : first[r] + count[r]]:
-            h = S.mix(np.array([h * np.uint64(31) + w]))[0]
+        h = count[r : r + 1].astype(np.uint64)
+        for at in range(first[r], first[r] + count[r]):
+            h = S.mix(h * np.uint64(31) + words[at : at + 1])
         rows.append(np.array([r]))
-        hashes.append(np.array([h], np.uint64))
+        hashes.append(h)
     row, value = np.concatenate(rows), np.concatenate(hashes)
     order = np.lexsort((value, row))
     row, value = row[order], value[order]
@@ -225,13 +226,17 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT, id_column
     joined = staged(components(links), "components")
 
     member_of = crowd.join(joined, "id", "left").select("key", "size", "id", F.coalesce("component_id", "id").alias("component_id"))
-    split = member_of.groupBy("key").agg(F.min("component_id").alias("low"), F.max("component_id").alias("high")).where("low <> high").select("key")
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
+    shares = member_of.groupBy("key", "component_id").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))
+    split = shares.groupBy("key").agg(F.max(F.struct("n", "component_id")).alias("top"), F.first("size").alias("all")).where("top.n < all")
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    outside = F.col("component_id") != F.col("top.component_id")
+    few, many = blocks(F.col("all") - F.col("top.n")), blocks(F.col("top.n"))
+    hashed = F.xxhash64("id")
     spread = (
+        # blocks of the others are numbered first, and every one of them meets every block
         member_of.join(split, "key")
-        .withColumn("blocks", blocks)
-        .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("own", F.when(outside, F.pmod(hashed, few)).otherwise(few + F.pmod(hashed, many)).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.when(outside, few + many).otherwise(few) - 1)))
         .select("key", "id", "component_id", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     )
     more = staged(spread.join(rich, "id").groupBy("key", "i", "j").applyInPandas(_compare_block(percent), "a long, b long"), "links")
