@@ -7,6 +7,7 @@ from tokenloom.catalog.registry import query, r6, text
 from tokenloom.functions import rollout as R
 from tokenloom.operators import masked as M
 from tokenloom.operators import rollouts as O
+from tokenloom.plans.staging import staged
 
 KEY = ["rollout_id"]
 
@@ -153,7 +154,7 @@ def masked_var(spark, sf):
       round((value - m) / sqrt(v + 1e-8) + m, 6) AS scaled FROM vals CROSS JOIN s""",
 )
 def masked_whiten(spark, sf):
-    white = M.masked_whiten(value_cells(spark, sf))
+    white = M.masked_whiten(staged(value_cells(spark, sf), "cells"))
     both = M.masked_whiten(white, name="scaled", shift_mean=False)
     return both.select("rollout_id", "pos", r6("whitened").alias("whitened"), r6("scaled").alias("scaled"))
 

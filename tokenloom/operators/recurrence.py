@@ -2,51 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
-ROWS_PER_MATRIX = 256
+# Cells of a matrix that rows of similar length are worked on in; a longer row is alone.
+CELLS_PER_MATRIX = 1 << 18
 
 
 def _suffix_sums(rows: pa.Array, decay: float) -> pa.Array:
-    """The recurrence over a batch of rows, a few rows at a time in one matrix; short rows are padded with zeros at the
+    """The recurrence over a batch of rows, rows of similar length in one matrix; short rows are padded with zeros at the
     end, which add nothing."""
-    ends = np.concatenate([[0], np.cumsum(np.asarray(rows.value_lengths().fill_null(0)))]).astype(np.int32)
+    lengths = np.asarray(rows.value_lengths().fill_null(0))
+    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
     flat = rows.flatten().to_numpy(zero_copy_only=False)
     out = np.empty(len(flat))
-    for first in range(0, len(rows), ROWS_PER_MATRIX):
-        spans = list(zip(ends[first : first + ROWS_PER_MATRIX], ends[first + 1 : first + ROWS_PER_MATRIX + 1]))
-        cells = np.zeros((max(e - b for b, e in spans), len(spans)))
-        for i, (b, e) in enumerate(spans):
-            cells[: e - b, i] = flat[b:e]
-        later = np.zeros(len(spans))
-        for t in range(len(cells) - 1, -1, -1):
+    order = np.argsort(-lengths, kind="stable")
+    first = 0
+    while first < len(order):
+        longest = int(lengths[order[first]])
+        last = first + max(1, CELLS_PER_MATRIX // max(longest, 1))
+        own = order[first:last]
+        cells = np.zeros((longest, len(own)))
+        for i, r in enumerate(own):
+            cells[: lengths[r], i] = flat[ends[r] : ends[r + 1]]
+        later = np.zeros(len(own))
+        for t in range(longest - 1, -1, -1):
             later = cells[t] = cells[t] + decay * later
-        for i, (b, e) in enumerate(spans):
-            out[b:e] = cells[: e - b, i]
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(out))
+        for i, r in enumerate(own):
+            out[ends[r] : ends[r + 1]] = cells[: lengths[r], i]
+        first = last
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(out), mask=rows.is_null() if rows.null_count else None)
 
 
 def discounted_suffix_sums(df: DataFrame, values: Column, decay: float, name: str) -> DataFrame:
     """Add ``name`` with ``out[t] = values[t] + decay * out[t+1]`` for every row. No row moves.
 
     A fold inside Spark can compute this recurrence but copies its output at every append (about 7 times slower when
-    measured), and the closed form divides by powers of ``decay`` that vanish on long arrays. So the column takes one
-    pass through Arrow.
+    measured), and the closed form divides by powers of ``decay`` that vanish on long arrays. So this one column takes
+    a pass through Arrow.
     """
-    held = df.withColumn("_values", values)
-    schema = T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.DoubleType()))])
-
-    def append(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            place = batch.schema.get_field_index("_values")
-            columns = [batch.column(i) for i in range(batch.num_columns) if i != place]
-            names = [n for i, n in enumerate(batch.schema.names) if i != place]
-            sums = _suffix_sums(batch.column(place), decay)
-            yield pa.RecordBatch.from_arrays([*columns, sums], [*names, name])
-
-    return held.mapInArrow(append, schema)
+
+    @F.arrow_udf("array<double>")
+    def sums(rows: pa.Array) -> pa.Array:
+        return _suffix_sums(rows, decay)
+
+    return df.withColumn(name, sums(values))

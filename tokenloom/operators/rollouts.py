@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenloom.functions import rollout as R
 from tokenloom.operators.masked import WHITEN_EPS, flatten_stats, mean_of, var_of
 from tokenloom.operators.recurrence import discounted_suffix_sums
+from tokenloom.plans.staging import staged
 
 
 @dataclass(frozen=True)
@@ -121,7 +122,8 @@ def compute_advantages(df: DataFrame, config: RolloutConfig = RolloutConfig()) -
         masked = whiten_arrays(masked, "_rewards", shift_mean=False)
     raw = gae(masked, "_rewards", "values", config).drop("_rewards")
     with_returns = raw.withColumn("returns", F.zip_with("advantages", "values", lambda a, v: a + v))
-    return whiten_arrays(with_returns, "advantages")
+    # written once, or the statistics and the whitened arrays would each compute everything above
+    return whiten_arrays(staged(with_returns, "advantages"), "advantages")
 
 
 def _masked_sum(values: Column, mask: Column) -> Column:
