@@ -29,12 +29,14 @@ RULES: list[tuple[str, str]] = [
     ("duplicate_lines", "n_lines >= 4 AND 100 * n_dup_lines > 50 * n_lines"),
     ("word_length_low", "word_chars < 2 * n_words"),
     ("word_length_high", "word_chars > 25 * n_words"),
+    ("many_symbols", "100 * n_symbols > 25 * n_words"),
 ]
 
 #: Policies are never edited; a changed one gets a new version.
 POLICIES: dict[str, tuple[str, ...]] = {
     "base-1": ("too_few_words", "repeated_windows"),
-    "web-1": tuple(name for name, _ in RULES),
+    "web-1": ("too_few_words", "repeated_windows", "too_many_symbols", "duplicate_lines", "word_length_low", "word_length_high"),
+    "web-2": ("too_few_words", "repeated_windows", "many_symbols", "duplicate_lines", "word_length_low", "word_length_high"),
 }
 
 

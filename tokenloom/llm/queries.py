@@ -14,7 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
-QUALITY_POLICY = "web-1"
+QUALITY_POLICY = "web-2"
 
 
 def query(name: str, sql: str | None = None):
