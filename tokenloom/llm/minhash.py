@@ -31,7 +31,7 @@ THRESHOLD_PERCENT = 85
 BANDS, ROWS = 24, 5
 HASHES = BANDS * ROWS
 #: Members of a bucket that meet in one task, two such blocks at a time.
-BLOCK = 48
+BLOCK = 128
 #: Signatures below the threshold by more than this many standard deviations of the estimate end a candidate.
 DEVIATIONS = 5.0
 
