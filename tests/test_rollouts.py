@@ -131,3 +131,20 @@ def test_skipped_batch_has_no_loss(spark):
     assert row["policy_loss"] == row["value_loss"] == row["total_loss"] == 0.0
     kept = O.ppo_total_loss(cells, ["b"], O.RolloutConfig(ratio_threshold=2.0)).first()
     assert kept["total_loss"] == pytest.approx(kept["policy_loss"] + 0.1 * kept["value_loss"])
+
+
+def test_full_divergence_inside_the_rewards(spark):
+    """Vectors over the vocabulary drive the penalty, the scalar columns stay for the losses."""
+    import math
+
+    p, q = [[math.log(0.7), math.log(0.3)], [math.log(0.5), math.log(0.5)]], [[math.log(0.5), math.log(0.5)], [math.log(0.25), math.log(0.75)]]
+    df = spark.createDataFrame(
+        [(1, p, q, [-0.3, -0.7], [-0.6, -0.9], [1, 1], 2.0)],
+        "rollout_id INT, vectors ARRAY<ARRAY<DOUBLE>>, ref_vectors ARRAY<ARRAY<DOUBLE>>, logprobs ARRAY<DOUBLE>, ref_logprobs ARRAY<DOUBLE>, mask ARRAY<INT>, score DOUBLE",
+    )
+    config = O.RolloutConfig(kl_mode="full")
+    row = O.compute_rewards(df, config, "vectors", "ref_vectors").first()
+    want = [-config.kl_coef * sum(math.exp(a) * (a - b) for a, b in zip(x, y)) for x, y in zip(p, q)]
+    assert row["non_score_rewards"] == pytest.approx(want)
+    assert row["rewards"] == pytest.approx([want[0], want[1] + 2.0])
+    assert row["logprobs"] == [-0.3, -0.7]

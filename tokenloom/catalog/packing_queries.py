@@ -6,6 +6,8 @@ from tokenloom.catalog import tables as t
 from tokenloom.catalog.registry import query, text
 from tokenloom.operators import corpus as C
 from tokenloom.operators import packing as K
+from tokenloom.plans.staging import new_folder
+from tokenloom.sources import shards as S
 
 L = t.LENGTH
 BATCH = 128
@@ -98,6 +100,22 @@ def assign_batches(spark, sf):
     return K.assign_batches(shuffled, BATCH).drop("shard_key", "chunk_key")
 
 
+@query(
+    "batches",
+    f"""WITH {SQL_SHUFFLED} SELECT epoch, stream_pos // {BATCH} AS batch_id, stream_pos,
+      array_to_string(toks[chunk_id * {L} + 1 : chunk_id * {L} + {L}], ',') AS x,
+      array_to_string(toks[chunk_id * {L} + 2 : chunk_id * {L} + {L} + 1], ',') AS y
+    FROM batched JOIN streams USING (shard_id)""",
+)
+def batches(spark, sf):
+    """Token shards as they were written, served as shuffled batches of inputs and labels."""
+    path = new_folder(spark, "token_shards")
+    S.write_token_shards(C.pretokenize_bytes(t.corpus(spark, sf)), "tok259", path)
+    examples = K.training_examples(S.read_token_shards(spark, path, "custom", 259), L)
+    served = K.assign_batches(K.shuffle_examples(examples, EPOCHS, keep=["x", "y"]), BATCH)
+    return served.select("epoch", "batch_id", "stream_pos", text("x").alias("x"), text("y").alias("y"))
+
+
 @query(
     "worker_streams",
     f"""WITH {t.SQL_STREAMS},

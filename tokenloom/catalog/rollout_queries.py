@@ -198,6 +198,21 @@ def compute_rewards(spark, sf):
     )
 
 
+def _rewards(name, mode, penalty):
+    @query(
+        name,
+        f"""WITH {t.sql_rewards(penalty)} SELECT rollout_id, CAST(pos AS INTEGER) AS pos, round(reward, 6) AS reward
+        FROM rewarded""",
+    )
+    def rewards(spark, sf):
+        done = O.compute_rewards(t.rollout_cells(spark, sf), O.RolloutConfig(kl_mode=mode))
+        return O.explode_cells(done, KEY, ["rewards"]).select("rollout_id", "pos", r6("rewards").alias("reward"))
+
+
+_rewards("compute_rewards_abs", "abs", "abs(logprob - ref_logprob)")
+_rewards("compute_rewards_mse", "mse", "(0.5::DOUBLE * (logprob - ref_logprob) * (logprob - ref_logprob))")
+
+
 @query(
     "mean_total_reward",
     f"""WITH {t.SQL_REWARDS}, sums AS (SELECT rollout_id, sum(reward * mask) AS s FROM rewarded GROUP BY rollout_id)

@@ -149,12 +149,18 @@ cells AS MATERIALIZED (
   JOIN bands b ON b.band = t.band
   CROSS JOIN mass m)"""
 
-SQL_REWARDS = f"""{SQL_CELLS},
+
+
+def sql_rewards(penalty: str) -> str:
+    return f"""{SQL_CELLS},
 rewarded AS (
-  SELECT *, -0.2::DOUBLE * (logprob - ref_logprob) AS non_score_reward,
-         -0.2::DOUBLE * (logprob - ref_logprob) + CASE WHEN pos = n - 2 THEN score ELSE 0 END AS reward
+  SELECT *, -0.2::DOUBLE * {penalty} AS non_score_reward,
+         -0.2::DOUBLE * {penalty} + CASE WHEN pos = n - 2 THEN score ELSE 0 END AS reward
   FROM cells)"""
 
+
+SQL_REWARDS = sql_rewards("(logprob - ref_logprob)")
+
 SQL_ADVANTAGES = f"""{SQL_REWARDS},
 masked AS (SELECT *, value * mask AS v, reward * mask AS r FROM rewarded),
 residual AS (
@@ -207,10 +213,13 @@ def rollout_cells(spark: SparkSession, sf: str) -> DataFrame:
         "mask", response_mask(F.col("query_ids"), F.col("response_ids"), attention)
     )
     key = ["rollout_id"]
-    cells = scoring.token_pairs(rows, key, "ids")
-    cells = scoring.score_pairs(cells, counts_train, BYTE_VOCAB, "logprobs", with_entropy=True)
-    cells = scoring.score_unigrams(cells, counts_train, BYTE_VOCAB, "ref_logprobs")
-    cells = scoring.score_pairs(cells, counts_all, BYTE_VOCAB, "new_logprobs")
+
+    def models(cells: DataFrame) -> DataFrame:
+        cells = scoring.score_pairs(cells, counts_train, BYTE_VOCAB, "logprobs", with_entropy=True)
+        cells = scoring.score_unigrams(cells, counts_train, BYTE_VOCAB, "ref_logprobs")
+        return scoring.score_pairs(cells, counts_all, BYTE_VOCAB, "new_logprobs")
+
+    cells = scoring.score_tokens(scoring.token_pairs(rows, key, "ids"), models)
     scored = rollouts.gather_cells(cells, key, ["logprobs", "ref_logprobs", "new_logprobs", "entropy"])
     band = F.least(F.floor(F.size("response_ids") / 200), F.lit(9))
     banded = rows.withColumn("band", band)

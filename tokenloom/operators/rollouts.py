@@ -92,9 +92,15 @@ def whiten_arrays(df: DataFrame, values: str, mask: str = "mask", shift_mean: bo
     )
 
 
-def compute_rewards(df: DataFrame, config: RolloutConfig = RolloutConfig()) -> DataFrame:
-    """Add ``non_score_rewards`` (penalty on every cell) and ``rewards`` (with the score on the last masked-in cell)."""
-    penalty = R.non_score_rewards(F.col("logprobs"), F.col("ref_logprobs"), config.kl_coef, config.kl_mode)
+def compute_rewards(
+    df: DataFrame, config: RolloutConfig = RolloutConfig(), policy: str = "logprobs", reference: str = "ref_logprobs"
+) -> DataFrame:
+    """Add ``non_score_rewards`` (penalty on every cell) and ``rewards`` (with the score on the last masked-in cell).
+
+    In ``full`` mode ``policy`` and ``reference`` name columns that hold a vector over the vocabulary per cell, next to
+    the scalar columns that the losses read.
+    """
+    penalty = R.non_score_rewards(F.col(policy), F.col(reference), config.kl_coef, config.kl_mode)
     return df.withColumn("non_score_rewards", penalty).withColumn(
         "rewards", R.token_rewards(F.col("non_score_rewards"), F.col("score"), F.col("mask"))
     )
