@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Cells of a matrix that rows of similar length are worked on in; a longer row is alone.
 CELLS_PER_MATRIX = 1 << 18
@@ -40,12 +42,18 @@ def discounted_suffix_sums(df: DataFrame, values: Column, decay: float, name: st
     """Add ``name`` with ``out[t] = values[t] + decay * out[t+1]`` for every row. No row moves.
 
     A fold inside Spark can compute this recurrence but copies its output at every append (about 7 times slower when
-    measured), and the closed form divides by powers of ``decay`` that vanish on long arrays. So this one column takes
-    a pass through Arrow.
+    measured), and the closed form divides by powers of ``decay`` that vanish on long arrays. So the rows take one pass
+    through Arrow. A scalar function over the column alone is drawn into array expressions that cannot hold it.
     """
-
-    @F.arrow_udf("array<double>")
-    def sums(rows: pa.Array) -> pa.Array:
-        return _suffix_sums(rows, decay)
-
-    return df.withColumn(name, sums(values))
+    held = df.withColumn("_values", values)
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.DoubleType()))])
+
+    def append(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.schema.get_field_index("_values")
+            columns = [batch.column(i) for i in range(batch.num_columns) if i != place]
+            names = [n for i, n in enumerate(batch.schema.names) if i != place]
+            sums = _suffix_sums(batch.column(place), decay)
+            yield pa.RecordBatch.from_arrays([*columns, sums], [*names, name])
+
+    return held.mapInArrow(append, schema)
