@@ -7,6 +7,8 @@ A byte goes if it lies in a string of ``LENGTH`` bytes that also starts in a doc
    moves a few bytes per minimizer, in blocks per (batch, part); what a batch can tell by itself stays out of it.
 2. Neighbouring windows with one minimizer form a segment. Segments whose minimizer repeats are dealt to shards by it,
    so equal windows always meet in one shard. A batch sends each different segment once, for its smallest document.
+   A minimizer of more than ``MOST`` documents would fill its shard: its segments are sent as single windows instead,
+   each dealt by a hash of itself, so they spread over all shards and equal windows still meet.
 3. A shard sorts the suffixes of its different segments by external induced sorting. Runs of suffixes that share
    ``LENGTH`` bytes are equal windows, and the smallest document of a run is where they were first.
 4. Spans are joined back to their documents and cut out.
@@ -16,6 +18,7 @@ Texts move compressed, and once: both joins take them from the same shuffle.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +34,10 @@ LENGTH = 50
 GRAM = 20
 #: Parts of the minimizer count, and shards of the suffix sort, for each shuffle partition of the session.
 PARTS, SHARDS = 2, 4
+#: Documents that a minimizer may stand in before its windows are dealt one by one: 4 MB of segments of 80 bytes.
+MOST = 50_000
+#: Marks such a minimizer, above the six bytes that name it.
+_HOT = 1 << 48
 
 
 def minimizers(part: S.Slice, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -97,7 +104,7 @@ def _by_part(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _count(parts: int, length: int, gram: int):
-    """Per batch: minimizers of one document (0), of several (1), and which documents hold the latter (2)."""
+    """Per batch: minimizers of one document (0), of several with their number (1), and which documents hold the latter (2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,7 +130,7 @@ def _count(parts: int, length: int, gram: int):
                 rows.append((p, 0, _short(key[single[at]]), pack(doc[single[at]])))
             several = head[size > 1]
             for p, at in _by_part((key[several] % np.uint64(parts)).astype(np.int64)):
-                rows.append((p, 1, _short(key[several[at]]), b""))
+                rows.append((p, 1, _short(key[several[at]]), pack(size[size > 1][at])))
             local = np.flatnonzero(np.repeat(size > 1, size))
             if len(local):
                 local = local[np.argsort(doc[local], kind="stable")]
@@ -152,6 +159,32 @@ def _repeated(table: pa.Table) -> pa.Table:
     return pa.table({"id": pa.array(np.concatenate(out_docs), pa.int64()), "key": pa.array(np.concatenate(out_keys), pa.int64())})
 
 
+def _hot(most: int):
+    """The minimizers of one part that stand in more than ``most`` documents."""
+
+    def run(table: pa.Table) -> pa.Table:
+        kinds = np.array(table["kind"].to_pylist(), np.int64)
+        keys, docs = table["keys"].to_pylist(), table["docs"].to_pylist()
+        single, several = np.flatnonzero(kinds == 0), np.flatnonzero(kinds == 1)
+        empty = np.zeros(0, np.int64)
+        known, at = np.unique(np.concatenate([_long(keys[i]) for i in several] or [empty]), return_inverse=True)
+        count = np.zeros(len(known), np.int64)
+        np.add.at(count, at, np.concatenate([unpack(docs[i]) for i in several] or [empty]))
+        # a batch names a minimizer of one document once, so few can still come to the limit
+        if len(single) > most:
+            lone, times = np.unique(np.concatenate([_long(keys[i]) for i in single]), return_counts=True)
+            known, at = np.unique(np.r_[known, lone], return_inverse=True)
+            count = np.bincount(at, np.r_[count, times], len(known)).astype(np.int64)
+        else:
+            near = count + len(single) > most
+            known, count = known[near], count[near]
+            for i in single if len(known) else ():
+                count += np.isin(known, _long(keys[i]))
+        return pa.table({"key": pa.array(known[count > most], pa.int64())})
+
+    return run
+
+
 def _merged(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Unions of spans that touch or overlap, within each document."""
     if not len(doc):
@@ -180,8 +213,28 @@ def _texts(column: pa.Array) -> list[bytes]:
     return [b"" if t is None else open_.decompress(t) for t in column.to_pylist()]
 
 
+def _windows(sent: list[int], hot: np.ndarray, texts: list[bytes], doc: list[int], begin: np.ndarray, length: int):
+    """Of the hot segments: different windows as (window, document, begin), and repeats of them as (document, begin)."""
+    first: dict[bytes, int] = {}
+    windows: list[tuple[bytes, int, int]] = []
+    alone: list[tuple[int, int]] = []
+    for i in sent:  # by document, so that the first to hold a window is the smallest
+        if hot[i]:
+            t, d, a = texts[i], doc[i], int(begin[i])
+            for k in range(len(t) - length + 1):
+                w = t[k : k + length]
+                if first.setdefault(w, d) == d:
+                    windows.append((w, d, a + k))
+                else:
+                    alone.append((d, a + k))
+    return windows, alone
+
+
 def _segments(shards: int, length: int, gram: int):
-    """Per batch: different segments with their smallest document (0), and spans that the batch settles itself (1)."""
+    """Per batch: different segments with their smallest document (0), and spans that the batch settles itself (1).
+
+    Segments of a minimizer marked hot go as their windows, different ones only, each to the shard of its own hash.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
@@ -189,22 +242,26 @@ def _segments(shards: int, length: int, gram: int):
             batch = batch.filter(batch.column(2).is_valid())
             ids = np.asarray(batch.column(0), np.int64)
             wanted = batch.column(2)
-            docs, begins, shard_of, texts = [], [], [], []
+            docs, begins, shard_of, hot_of, texts = [], [], [], [], []
             for part in S.slices(pa.array(_texts(batch.column(1)), pa.large_binary())):
                 begin, end, row, key = minimizers(part, length, gram)
                 own = wanted.slice(part.first, part.rows)
                 flags = own.flatten().to_numpy(zero_copy_only=False).astype(np.uint64)
                 flag_row = np.repeat(np.arange(part.rows), own.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
                 name = lambda k, r: S.mix(k ^ S.mix(r.astype(np.uint64) + np.uint64(1)))
-                hit = np.flatnonzero(np.isin(name(key >> np.uint64(16), row), name(flags, flag_row)))
+                hot = flags >= np.uint64(_HOT)
+                flags &= np.uint64(_HOT - 1)
+                names = name(key >> np.uint64(16), row)
+                hit = np.flatnonzero(np.isin(names, name(flags, flag_row)))
                 raw = part.data.tobytes()
                 texts += [raw[a:b] for a, b in zip(begin[hit].tolist(), end[hit].tolist())]
                 docs.append(ids[part.first + row[hit]])
                 begins.append(begin[hit] - part.at[row[hit]])
                 shard_of.append((key[hit] % np.uint64(shards)).astype(np.int64))
+                hot_of.append(np.isin(names[hit], name(flags[hot], flag_row[hot])))
             if not texts:
                 continue
-            doc, begin, shard = np.concatenate(docs), np.concatenate(begins), np.concatenate(shard_of)
+            doc, begin, shard, hot = np.concatenate(docs), np.concatenate(begins), np.concatenate(shard_of), np.concatenate(hot_of)
             first: dict[bytes, int] = {}
             sent, settled = [], []
             doc_list = doc.tolist()
@@ -213,15 +270,22 @@ def _segments(shards: int, length: int, gram: int):
                 (sent if doc_list[seen] == doc_list[i] else settled).append(i)
             del first
             rows = []
+            windows, alone = _windows(sent, hot, texts, doc_list, begin, length)
+            sent = [i for i in sent if not hot[i]]
             sent = np.array(sent, np.int64)
+            for p, at in _by_part(np.array([zlib.crc32(t) % shards for t, _, _ in windows], np.int64)):
+                t, d, a = zip(*[windows[i] for i in at.tolist()])
+                rows.append((p, 0, pack(np.array(d, np.int64)), pack(np.array(a, np.int64)), pack(np.full(len(t), length, np.int64)), press.compress(b"".join(t))))
             for p, at in _by_part(shard[sent]):
                 at = sent[at]
                 own = [texts[i] for i in at.tolist()]
                 rows.append((p, 0, pack(doc[at]), pack(begin[at]), pack(np.array([len(t) for t in own], np.int64)), press.compress(b"".join(own))))
-            if settled:
+            if settled or alone:
                 at = np.array(settled, np.int64)
-                d, a, b = _merged(doc[at], begin[at], begin[at] + np.array([len(texts[i]) for i in settled], np.int64))
-                rows.append((int(shard[at[0]]), 1, pack(d), pack(a), pack(b - a), b""))
+                d, a = np.array(alone, np.int64).reshape(-1, 2).T
+                end = begin[at] + np.array([len(texts[i]) for i in settled], np.int64)
+                d, a, b = _merged(np.r_[doc[at], d], np.r_[begin[at], a], np.r_[end, a + length])
+                rows.append((int(d[0]) % shards, 1, pack(d), pack(a), pack(b - a), b""))
             kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["part", "kind", "docs", "begins", "sizes", "data"])
 
@@ -296,20 +360,28 @@ def squeezed(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(_squeeze, f"{fields}, packed binary")
 
 
-def repeated_spans(texts: DataFrame, packed: DataFrame, length: int = LENGTH, gram: int = GRAM, memory: int = induced.MEMORY) -> DataFrame:
-    """``id, begin, end``: byte spans of ``texts`` (id, text) that repeat an earlier document; they may overlap.
-
-    ``packed`` holds the same rows ``squeezed``; its columns between id and text are not looked at.
-    """
+def dealt_segments(texts: DataFrame, packed: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = MOST) -> DataFrame:
+    """What each shard (``part``) gets: segments or windows of ``texts`` (id, text), and spans that are settled already."""
     width = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     known = texts.where("id IS NOT NULL AND text IS NOT NULL")
     counted = known.mapInArrow(_count(PARTS * width, length, gram), "part int, kind int, keys binary, docs binary")
     pairs = counted.groupBy("part").applyInArrow(_repeated, "id long, key long")
-    wanted = pairs.groupBy("id").agg(F.collect_list("key").alias("keys"))
+    # at most (pairs / most) keys; both readers share one shuffle
+    hot = counted.groupBy("part").applyInArrow(_hot(most), "key long").select("key", F.lit(_HOT).alias("mark"))
+    marked = pairs.join(F.broadcast(hot), "key", "left").select("id", F.col("key").bitwiseOR(F.coalesce("mark", F.lit(0).cast("long"))).alias("key"))
+    wanted = marked.groupBy("id").agg(F.collect_list("key").alias("keys"))
     # an outer join, as the one that follows, so that the two share one shuffle of the texts
-    dealt = packed.join(wanted, "id", "left").select("id", "packed", "keys", *packed.columns[1:-1]).mapInArrow(
+    return packed.join(wanted, "id", "left").select("id", "packed", "keys", *packed.columns[1:-1]).mapInArrow(
         _segments(SHARDS * width, length, gram), "part int, kind int, docs binary, begins binary, sizes binary, data binary"
     )
+
+
+def repeated_spans(texts: DataFrame, packed: DataFrame, length: int = LENGTH, gram: int = GRAM, memory: int = induced.MEMORY, most: int = MOST) -> DataFrame:
+    """``id, begin, end``: byte spans of ``texts`` (id, text) that repeat an earlier document; they may overlap.
+
+    ``packed`` holds the same rows ``squeezed``; its columns between id and text are not looked at.
+    """
+    dealt = dealt_segments(texts, packed, length, gram, most)
     return dealt.groupBy("part").applyInArrow(_shard(length, memory), "id long, begin long, end long")
 
 
@@ -339,7 +411,7 @@ def _cut(as_text: bool):
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = (), *, as_text: bool = False, memory: int = induced.MEMORY
+    docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = (), *, as_text: bool = False, memory: int = induced.MEMORY, most: int = MOST
 ) -> DataFrame:
     """``n_bytes, n_removed, n_spans, kept`` of each document, after its id and the columns ``keep``.
 
@@ -350,7 +422,7 @@ def remove_repeats(
     """
     id_, text = F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text")
     packed = squeezed(docs.select(id_, *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)], text))
-    found = repeated_spans(docs.select(id_, text), packed, length, memory=memory)
+    found = repeated_spans(docs.select(id_, text), packed, length, memory=memory, most=most)
     spans = found.groupBy("id").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     own = [F.col("id").cast(docs.schema[id_column].dataType).alias(id_column), *[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)]]
     joined = packed.join(spans, "id", "left").select("packed", "spans", *own)
