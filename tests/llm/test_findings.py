@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from tests.llm import plain
-from tokenloom.llm import repeats
+from tokenloom.llm import html, repeats
 
 
 def test_hot_minimizer_spreads(spark, make):
@@ -35,3 +35,18 @@ def test_hot_minimizer_spreads(spark, make):
     for most in (20, 10**9):
         got = {r[0]: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in repeats.remove_repeats(frame, most=most).collect()}
         assert got == want
+
+
+def test_pages_of_several_parts():
+    part = lambda word, n=5: "".join(f"<p>{word} {'words of this part go on ' * 8}{i}.</p>" for i in range(n))
+    has = lambda page, *words: [w in html.main_text(page) for w in words]
+    sections = "".join(f"<section><h2>Head{k}</h2><div>{part(f'body{k}')}</div></section>" for k in range(3))
+    assert all(has(f"<body><nav><a href=1>Home</a></nav>{sections}<footer>f</footer></body>", *[f"{w}{k}" for w in ("Head", "body") for k in range(3)]))
+    links = "<ul><li><a href=1>elsewhere</a></li><li><a href=2>elsewhere</a></li></ul>"
+    main = f"<body><main><h1>Title</h1><article>{part('one')}</article><h2>Middle</h2><article>{part('two', 2)}</article></main>{links}</body>"
+    assert has(main, "Title", "one", "Middle", "two", "elsewhere") == [True] * 4 + [False]
+    bare = f"<body><article>{part('one')}</article><div><article>{part('two')}</article></div>{links}</body>"
+    assert has(bare, "one", "two", "elsewhere") == [True, True, False]
+    layout = f"<body><div class='layout sidebar'><div>{part('body')}</div><div class=sidebar><p>aside</p></div></div><div id=comments>{part('remark', 9)}</div></body>"
+    assert has(layout, "body", "aside", "remark") == [True, False, False]
+    assert has(f"<body><div class=ad>{'buy ' * 90}</div><article><p>short</p></article></body>", "buy", "short") == [False, True]

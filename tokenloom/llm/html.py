@@ -2,7 +2,11 @@
 
 Every node of the page's tree gets its characters per tag, adjusted by the share of link characters and link tags. The
 node whose children's densities have the largest sum holds the article. The least density on its way up to the body is
-the threshold that other parts must reach to count as article too.
+the threshold that other parts must reach to count as article too, anywhere on the page where all above them reach it.
+
+An article or main element around that node is taken whole. Inside an enclosing main (or article) other parts join by the
+threshold, and so do other articles of the page, from ``PART`` of it on. Headings go with the parts that they stand between
+or right before, in a main with all parts behind them.
 """
 
 from __future__ import annotations
@@ -34,6 +38,11 @@ NAMES = frozenset(
     " share sharing social related recommended comment comments disqus reply replies respond widget masthead toolbar login"
     " copyright".split()
 )
+#: A name of these is never that of a layout around the article, however much text the element holds.
+REMARKS = frozenset("comment comments disqus reply replies respond".split())
+#: Share of the threshold for other articles: where nothing else stands beside them it is the mean of all of them.
+PART = 0.5
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _CLOSES_P = BLOCK - {"body", "html"}
 _CLOSED_BY_SAME = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
@@ -43,7 +52,7 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total", "article", "heading")
+    __slots__ = ("tag", "parent", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total", "article", "heading", "named", "held", "parts")
 
     def __init__(self, tag: str, parent: "Node | None") -> None:
         self.tag, self.parent = tag, parent
@@ -51,26 +60,28 @@ class Node:
         self.article = parent is not None and parent.article
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
-        self.heading = False
+        self.heading = self.named = False
+        self.held = self.parts = 0
 
 
 def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(source)}
 
 
-def _is_other(tag: str, source: str, inside: bool) -> bool:
-    """Whether an element is none of the article by what it is or calls itself."""
+def _is_other(tag: str, source: str, inside: bool) -> tuple[bool, bool]:
+    """Whether an element is none of the article by what it is, and whether by a name that a layout may have too."""
     if tag in DROPPED or (tag == "header" and not inside):
-        return True
+        return True, False
     if not source or tag in ("html", "body", "main"):
-        return False
+        return False, False
     found = _attributes(source)
     if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", ""):
-        return True
+        return True, False
     if found.get("role", "").lower() in ROLES:
-        return True
+        return True, False
     names = {n.lower() for n in _NAME.findall(found.get("class", "") + " " + found.get("id", ""))}
-    return not names.isdisjoint(("comment", "comments") if tag == "article" else NAMES)
+    hit = names.intersection(("comment", "comments") if tag == "article" else NAMES)
+    return not hit.isdisjoint(REMARKS), bool(hit)
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
@@ -127,7 +138,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
                     del stack[k:]
                     break
         node = Node(tag, stack[-1])
-        node.dropped = node.dropped or _is_other(tag, m[3], node.article)
+        other, node.named = _is_other(tag, m[3], node.article)
+        node.dropped = node.dropped or other
         node.article = node.article or tag in ("article", "main")
         nodes.append(node)
         if tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
@@ -185,41 +197,102 @@ def _content(nodes: list[Node]) -> set[int]:
         best = max(nodes, key=lambda x: x.density)
         if best.density <= 0:
             return set()
-    up, outer = best, None
+    threshold, up, outer, scope = best.density, best, None, None
     while up is not None:
+        if up.density > 0 and up.tag not in ("html", ""):
+            threshold = min(threshold, up.density)
         if up.tag in ("article", "main"):
-            outer = up
-            break
+            outer, scope = outer or up, up
         up = up.parent
-    if outer is not None:
-        return {id(outer)}
-    threshold, up = best.density, best
-    while up is not None and up.tag not in ("body", "html", ""):
+    core = outer or best
+    above, up = set(), core.parent
+    while up is not None:
+        above.add(id(up))
         up = up.parent
-        if up is not None and up.density > 0:
-            threshold = min(threshold, up.density)
-    chosen = {id(best)}
-    open_ = {id(nodes[0])}
+    chosen, open_, below = {id(core)}, {id(nodes[0])}, {id(core)}
+    within = {id(scope)}
     for node in nodes[1:]:  # parents come first
-        if node.dropped or id(node.parent) not in open_:
+        up = node.parent
+        if id(up) in within:
+            within.add(id(node))
+        if id(up) in below:
+            below.add(id(node))
+        if node.dropped or id(node) in below or id(up) not in open_:
             continue
-        if node.density >= threshold:
+        if id(node) in above:
             open_.add(id(node))
-            if node.tag in BLOCK and node.tag not in ("html", "body") and node.parent is best.parent:
+        elif node.tag == "article" and node.density >= PART * threshold:
+            chosen.add(id(node))
+            below.add(id(node))
+        elif node.density >= threshold:
+            if node.tag in BLOCK and node.tag not in ("html", "body") and (outer is None or (id(node) in within and scope is not outer)):
                 chosen.add(id(node))
-    return chosen
+                below.add(id(node))
+            else:
+                open_.add(id(node))
+        elif outer is not None and node.tag in BLOCK:
+            open_.add(id(node))  # an article may stand in a thin wrapper
+    return chosen | _headings(nodes, chosen, id(scope) if scope is not outer else None)
+
+
+def _headings(nodes: list[Node], chosen: set[int], scope: int | None) -> set[int]:
+    """Headings between the chosen nodes, right before one of them, or in ``scope`` and before the last of them."""
+    around: set[int] = set()
+    for node in nodes:
+        if id(node) in chosen:
+            up = node.parent
+            while up is not None:
+                around.add(id(up))
+                up = up.parent
+    found: set[int] = set()
+    waiting: list[tuple[Node, bool]] = []
+    covered, within, started = set(), {scope}, False
+    for node in nodes:
+        up = id(node.parent)
+        if up in within:
+            within.add(id(node))
+        if up in covered or id(node) in chosen:
+            covered.add(id(node))
+            if id(node) in chosen:
+                found |= {id(h) for h, free in waiting if free or h.parent is node.parent and h.tag in HEADINGS}
+                waiting, started = [], True
+        elif node.dropped:
+            continue
+        elif node.tag in HEADINGS:
+            waiting.append((node, started or id(node) in within))
+        elif id(node) not in around and node.chars and node.tag in BLOCK and (up not in within) and node.parent.tag not in HEADINGS:
+            waiting = [w for w in waiting if w[1]]  # other text between: not right before
+    return found
 
 
 def main_text(page: str) -> str:
     """The article's blocks, one per line, with references decoded and white space made single."""
     nodes, pieces = parse(page)
-    total = sum(len("".join(t.split())) for x, t in pieces if t and not x.dropped) or 1
+    size_of = lambda t: len("".join(t.split()))
+    total = sum(size_of(t) for x, t in pieces if t and not x.dropped)
+    for node, text in pieces:
+        up = node if text and not node.dropped else None
+        while up is not None:
+            if up.named:
+                up.held += size_of(text)
+            up = up.parent
+    parts = [node for node in nodes if node.tag in ("article", "main") and not node.dropped]
+    for node in parts:
+        up = node.parent
+        while up is not None:
+            up.parts += 1
+            up = up.parent
+    for node in nodes[1:]:
+        # a name as of a side part is that of a layout on an element that holds most of the page and all its articles
+        side = node.named and (2 * node.held < total or node.parts < len(parts) or node.tag in ("article", "p"))
+        node.dropped = node.dropped or node.parent.dropped or side
+    total = sum(size_of(t) for x, t in pieces if t and not x.dropped) or 1
     forms = {}
     for node, text in pieces:  # a form that wraps most of the page is layout; any other is none of the article
         up = node
         while text and up is not None:
             if up.tag == "form":
-                forms[id(up)] = forms.get(id(up), 0) + len("".join(text.split()))
+                forms[id(up)] = forms.get(id(up), 0) + size_of(text)
             up = up.parent
     for node in nodes[1:]:
         node.dropped = node.dropped or node.parent.dropped or (node.tag == "form" and 2 * forms.get(id(node), 0) < total) or (node.tag == "header" and not node.heading)
