@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from tests.llm import plain
-from tokenloom.llm import html, repeats
+from tokenloom.llm import html, licenses, repeats
 
 
 def test_hot_minimizer_spreads(spark, make):
@@ -50,3 +50,16 @@ def test_pages_of_several_parts():
     layout = f"<body><div class='layout sidebar'><div>{part('body')}</div><div class=sidebar><p>aside</p></div></div><div id=comments>{part('remark', 9)}</div></body>"
     assert has(layout, "body", "aside", "remark") == [True, False, False]
     assert has(f"<body><div class=ad>{'buy ' * 90}</div><article><p>short</p></article></body>", "buy", "short") == [False, True]
+
+
+def test_wrapped_and_joint_notices(make):
+    fill = " ".join(f"word{i}" for i in range(80))
+    wrapped = "This work is licensed under a Creative Commons Attribution 4.0\nInternational License."
+    rows = [
+        (1, f"{fill}\n{wrapped}\n{fill}"), (2, wrapped.replace("\n", " ")), (3, "Licensed under CC BY 4.0. Licensed under CC BY-SA 4.0."),
+        (4, "Licensed under CC BY-SA 4.0."), (5, f"{fill}\nLicensed under CC\nBY-SA 4.0.\n{fill}"), (6, f"This work is\n{fill}\nlicensed under a Creative Commons Attribution 4.0\nInternational License."),
+        (7, f"Licensed {fill}\nunder {fill} CC {fill}\nBY 4 0"), (8, f"{fill}\nLicensed under CC BY 4.0.\n{fill}"),
+    ]
+    got = {r.doc_id: (r.labels, r.n_blocks) for r in licenses.scan(make(rows)).collect()}
+    near = ("cc-by,cc-by-nc,cc-by-sa", 1)  # all but one word of the others, too
+    assert got == {1: near, 2: near, 3: ("cc-by,cc-by-sa", 1), 4: ("cc-by-sa", 1), 5: ("cc-by-sa", 1), 6: ("", 0), 7: ("", 0), 8: ("cc-by", 1)}
