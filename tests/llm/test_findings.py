@@ -2,10 +2,11 @@
 
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.llm import plain
-from tokenloom.llm import html, licenses, repeats
+from tokenloom.llm import html, lattice, licenses, repeats
 
 
 def test_hot_minimizer_spreads(spark, make):
@@ -63,3 +64,14 @@ def test_wrapped_and_joint_notices(make):
     got = {r.doc_id: (r.labels, r.n_blocks) for r in licenses.scan(make(rows)).collect()}
     near = ("cc-by,cc-by-nc,cc-by-sa", 1)  # all but one word of the others, too
     assert got == {1: near, 2: near, 3: ("cc-by,cc-by-sa", 1), 4: ("cc-by-sa", 1), 5: ("cc-by-sa", 1), 6: ("", 0), 7: ("", 0), 8: ("cc-by", 1)}
+
+
+def test_repeated_vectors(spark):
+    base = [1.0, 2.0, -1.0, 0.5, 3.0, -2.0, 0.25, 1.5]
+    rows = [(1, base), (1, base), (1, base), (2, [2 * x for x in base]), (3, [-x for x in base]), (3, None), (4, base), (4, [1.0] + [0.0] * 7), (None, base), (None, base)]
+    for order in (rows, rows[::-1]):
+        got = [(r.vec_id, r.n_links, r.component_id, r.kept) for r in lattice.near_duplicates(spark.createDataFrame(order, "vec_id long, embedding array<double>")).collect()]
+        least = min((lattice._units(pa.array([v]))[0].tobytes(), v) for i, v in rows if i == 4)[1]
+        four = (4, 2, 1, False) if least == base else (4, 0, 4, True)
+        n = 2 if least == base else 1
+        assert sorted(got, key=str) == sorted([(1, n, 1, True)] * 3 + [(2, n, 1, False)] + [(3, 0, 3, True)] * 2 + [four] * 2 + [(None, 0, None, False)] * 2, key=str)

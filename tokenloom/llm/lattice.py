@@ -180,13 +180,16 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_column: str =
     """``n_links, component_id, kept`` of each vector, after its id.
 
     Links are pairs found with a cosine of at least ``cosine``, computed in doubles. A vector that is null, empty or
-    zero, or holds null or non-finite components, links with nothing; nor do vectors of different lengths. Ids are meant
-    to be unique. A row with a null id has no links, a null component and is not kept. An empty table gives an empty
-    result; other columns are not read.
+    zero, or holds null or non-finite components, links with nothing; nor do vectors of different lengths. Rows that share
+    an id are one vector, of those that can link the one whose bytes at length 1 are least; links count the other ids,
+    and each of the rows gets the id's result. A row with a null id has no links, a null component and is not kept. An
+    empty table gives an empty result; other columns are not read.
     """
     limit = float(np.arccos(cosine))
     ids = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast("array<double>").alias("vector"))
     placed = staged(ids.where("id IS NOT NULL").mapInArrow(_place, "id long, unit binary, own array<long>"), "cells")
+    if not placed.groupBy("id").count().where("count > 1").isEmpty():
+        placed = staged(placed.groupBy("id").agg(F.min("unit").alias("unit"), F.min_by("own", "unit").alias("own")), "cells")
 
     todo, balls = placed.select("id", "unit", "own"), []
     for r in range(ROUNDS):
