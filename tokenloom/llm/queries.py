@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import html, language, lattice, licenses, minhash, mixing, pieces, quality, repeats, toxicity
+from tokenloom.llm import html, language, lattice, licenses, lines, minhash, mixing, negatives, pieces, quality, repeats, toxicity, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,3 +109,19 @@ def op6(spark, sf_dir):
 def op8(spark, sf_dir):
     cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_line_dedup", lines.oracle())
+def op11(spark, sf_dir):
+    cut = lines.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op12_whitening")
+def op12(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_hard_negatives", negatives.oracle())
+def op13(spark, sf_dir):
+    return negatives.mine(table(spark, sf_dir, "embeddings"), negatives.anchor_rows(), negatives.moved_label())
