@@ -178,9 +178,10 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: in
         runs.add(pairs.where(F.col("batch") == b).select("id", "key"))
     often = staged(runs.frequent(min_docs), "frequent")
     runs.drop()
-    lost = pairs.join(often, "key").where("id <> keeper").groupBy("id").agg(F.collect_list("key").alias("keys"))
+    # both joins by shuffle whatever the size, so that the plan is the same for any number of repeated lines
+    lost = pairs.join(often.hint("merge"), "key").where("id <> keeper").groupBy("id").agg(F.collect_list("key").alias("keys"))
     lost = staged(lost.select(F.col("id").alias("of"), "keys"), "dropped")
-    cut = texts.join(lost, F.col("id") == F.col("of"), "left").select("id", "text", "keys")
+    cut = texts.join(lost.hint("merge"), F.col("id") == F.col("of"), "left").select("id", "text", "keys")
     return cut.mapInArrow(_cut(min_chars), "id long, n_lines long, n_dropped long, kept string").withColumnRenamed("id", "doc_id")
 
 
