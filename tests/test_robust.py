@@ -22,6 +22,37 @@ def test_null_run_has_a_best_checkpoint(spark):
     assert runlog.best_checkpoint(log).count() == 2
 
 
+def test_null_shards_and_batches_stay(spark):
+    from tokenloom.operators import corpus
+
+    named = spark.createDataFrame([("b", 1), (None, 2), ("a", 3)], "shard string, doc_pos long")
+    assert {(r.doc_pos, r.shard_id) for r in shards.with_shard_ids(named).collect()} == {(2, 0), (3, 1), (1, 2)}
+    docs = spark.createDataFrame([(s, i, list(range(9))) for s in (1, None) for i in range(3)], "shard_id INT, doc_pos LONG, ids ARRAY<INT>")
+    got = packing.pack_sequences(docs, 8).groupBy("shard_id").count().collect()
+    assert {(r.shard_id, r["count"]) for r in got} == {(1, 2), (None, 2)}
+    padded = corpus.pad_batch(spark.createDataFrame([(None, [1], [1]), (1, [1, 2], [1, 1])], "batch_id INT, input_ids ARRAY<INT>, attention_mask ARRAY<INT>"))
+    assert padded.count() == 2
+    keys = spark.createDataFrame([(None, 0), (None, 1), (1, 0)], "shard_id INT, chunk_id LONG")
+    assert sorted(r.stream_pos for r in packing.assign_batches(packing.shuffle_examples(keys, 2), 2).collect()) == list(range(6))
+
+
+def test_stored_layout_packs_like_any_table(spark, tmp_path):
+    rows = [(s, i * 3, [j % 50 + 3 for j in range((7 * i + 5 * s) % 40)]) for s in range(3) for i in range(30)]
+    docs = spark.createDataFrame(rows, "shard_id INT, doc_pos LONG, ids ARRAY<INT>")
+    shards.write_token_shards(docs, "tok259", str(tmp_path), docs_per_block=16)
+    stored = shards.read_token_shards(spark, str(tmp_path), "custom", 259)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(packing.token_offsets(stored).select("shard_id", "doc_pos", "start")) == key(packing.token_offsets(docs).select("shard_id", "doc_pos", "start"))
+    packed = packing.pack_sequences(stored, 8)
+    assert key(packed) == key(packing.pack_sequences(docs, 8))
+    plan = packing.pack_sequences(stored, 8)._jdf.queryExecution().executedPlan().toString()
+    moved = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "chunk_id" in x]
+    assert len(moved) == 1 and "Exchange hashpartitioning(shard_id" in plan  # ids go through the exchange by chunk only
+    with pytest.raises(Exception, match="missing"):
+        packing.pack_sequences(stored.where("doc_pos <> 9"), 8).count()
+    assert packing.pack_sequences(stored.where("doc_pos <> 9").drop("block", "block_start"), 8).count() > 0
+
+
 def test_second_write_replaces(spark, tmp_path):
     docs = spark.createDataFrame([(0, 0, [1, 5]), (1, 0, [1, 6])], "shard_id INT, doc_pos LONG, ids ARRAY<INT>")
     path = str(tmp_path / "tokens")

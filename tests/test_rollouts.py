@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tokenloom.functions import rollout as R
 from tokenloom.functions.vectors import dequantize_groups, fitting_group_size, quantize_groups
 from tokenloom.operators import masked as M
+from tokenloom.operators import packing as K
 from tokenloom.operators import rollouts as O
 from tokenloom.operators import runlog as L
 from tokenloom.operators import scoring as Q
@@ -62,12 +63,20 @@ def test_alignment_fails_on_missing_rollouts(spark):
     q = spark.createDataFrame([(1, "a"), (2, "b")], "rollout_id INT, q STRING")
     r = spark.createDataFrame([(1, "a"), (2, "b")], "rollout_id INT, r STRING")
     s = spark.createDataFrame([(1, 0.5)], "rollout_id INT, score DOUBLE")
-    with pytest.raises(ValueError, match="not matched"):
-        O.align_rollouts(q, r, s)
+    with pytest.raises(PySparkException, match="not matched"):
+        O.align_rollouts(q, r, s).collect()
+    for twice in ([(1, 0.5), (2, 0.1), (2, 0.1)], [(1, 0.5), (None, 0.1)], [(1, 0.5), (2, 0.1), (3, 0.2)]):
+        with pytest.raises(PySparkException, match="not matched"):
+            O.align_rollouts(q, r, spark.createDataFrame(twice, "rollout_id INT, score DOUBLE")).collect()
     both = spark.createDataFrame([(1, 0.5), (2, 0.1)], "rollout_id INT, score DOUBLE")
-    assert O.align_rollouts(q, r, both, 2).count() == 2
-    with pytest.raises(ValueError, match="expected 3"):
-        O.align_rollouts(q, r, both, 3)
+    aligned = O.align_rollouts(q, r, both, 2)
+    assert sorted(map(tuple, aligned.collect())) == [(1, "a", "a", 0.5), (2, "b", "b", 0.1)]
+    # rows without a value count too, and each row is shuffled once
+    empty = spark.createDataFrame([(1, None), (2, None)], "rollout_id INT, score DOUBLE")
+    assert sorted(map(tuple, O.align_rollouts(q, r, empty).collect())) == [(1, "a", "a", None), (2, "b", "b", None)]
+    assert O.align_rollouts(q, r, both)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+    with pytest.raises(PySparkException, match="expected 3"):
+        O.align_rollouts(q, r, both, 3).collect()
 
 
 def test_flatten_rejects_the_separator(spark):
@@ -148,3 +157,70 @@ def test_full_divergence_inside_the_rewards(spark):
     assert row["non_score_rewards"] == pytest.approx(want)
     assert row["rewards"] == pytest.approx([want[0], want[1] + 2.0])
     assert row["logprobs"] == [-0.3, -0.7]
+
+
+def step_rows(n=37):
+    rng = random.Random(11)
+    rows = []
+    for i in range(n):
+        size = rng.randrange(1, 9)
+        cell = lambda: [rng.uniform(-1, 1) for _ in range(size)]
+        rows.append((i, [1] + [rng.randrange(2) for _ in range(size - 1)], *[cell() for _ in range(7)]))
+    return rows
+
+
+STEP = "rollout_id LONG, mask ARRAY<INT>, logprobs ARRAY<DOUBLE>, new_logprobs ARRAY<DOUBLE>, `values` ARRAY<DOUBLE>, vpreds ARRAY<DOUBLE>, advantages ARRAY<DOUBLE>, returns ARRAY<DOUBLE>, entropy ARRAY<DOUBLE>"
+
+
+def test_step_equals_statistics_of_its_mini_batches(spark):
+    """Sums per rollout give what the cells of each mini-batch give; the cells are read once."""
+    df = spark.createDataFrame(step_rows(), STEP)
+    step = O.ppo_step(df, epochs=3, mini_batch=4, grad_accum=2)
+    assert "arrays_zip" not in step._jdf.queryExecution().toString()  # no cells in the plan: their sums were written
+    got = M.flatten_stats(step)
+    placed = K.minibatch_permutation(df, "rollout_id", 3, 4, 2)
+    by = ["epoch", "backward_batch", "mini_batch"]
+    want = O.flat_ppo_stats(O.loss_cells(placed.join(df, "rollout_id"), [*by, "rollout_id"]), by)
+    key = lambda r: tuple(r[c] for c in by)
+    one, two = ({key(r): r.asDict() for r in x.collect()} for x in (got, want))
+    assert len(one) == 3 * 10 and one.keys() == two.keys()
+    for k, r in one.items():
+        assert {c for c in r if r[c] is None} == {c for c in r if two[k][c] is None}
+        assert [v for v in r.values() if v is not None] == pytest.approx([v for v in two[k].values() if v is not None], rel=1e-9, abs=1e-9)
+
+
+def test_whitening_is_observed_during_the_write(spark):
+    df = spark.createDataFrame(step_rows(), STEP).select("rollout_id", "mask", "returns")
+    white = O.whiten_arrays(df, "returns")
+    plan = white._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1 and "Subquery" not in plan
+    cells = [(v, w, m) for (_, mask, *_, returns, _), r in zip(step_rows(), sorted(white.collect())) for v, w, m in zip(returns, r["returns"], mask)]
+    inside = [v for v, _, m in cells if m]
+    mean = sum(inside) / len(inside)
+    var = sum((v - mean) ** 2 for v in inside) / (len(inside) - 1)
+    assert all(w == pytest.approx((v - mean) / (var + 1e-8) ** 0.5) for v, w, _ in cells)
+    kept = M.masked_whiten(O.explode_cells(df, ["rollout_id"], ["mask", "returns"]), "returns", shift_mean=False)
+    assert kept._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+    assert sorted(r["whitened"] for r in kept.collect()) == pytest.approx(sorted(w + mean for _, w, _ in cells))
+    none = spark.createDataFrame([(1.0, 0)], "value DOUBLE, mask INT")
+    with pytest.raises(PySparkException, match="mask is empty"):
+        M.masked_whiten(none).collect()
+    assert M.masked_whiten(spark.createDataFrame([(1.0, 1)], "value DOUBLE, mask INT")).first()["whitened"] is None
+    assert M.masked_whiten(none.where("value > 5")).collect() == []
+
+
+def test_sequences_are_scored_in_batches_of_tokens(spark):
+    rows = [(i, [(i * 7 + j) % 5 for j in range(i % 9)]) for i in range(40)] + [(99, None), (98, list(range(5)) * 30)]
+    df = spark.createDataFrame(rows, "rollout_id LONG, ids ARRAY<INT>")
+    counts = spark.createDataFrame([(0, 1, 3), (1, 2, 4), (1, 3, 1), (4, 0, 2)], "context INT, next INT, cnt LONG")
+    model = Q.PairModel.of(counts, 5)
+    done = {r["rollout_id"]: r for r in Q.score_sequences(df, "ids", model, ["logprobs", "entropy"], tokens=16).collect()}
+    long = Q.score_pairs(Q.token_pairs(df, ["rollout_id"], "ids"), counts, 5, "logprob", with_entropy=True).collect()
+    assert sum(len(r["logprobs"] or []) for r in done.values()) == len(long)
+    for r in long:
+        assert done[r["rollout_id"]]["logprobs"][r["pos"]] == pytest.approx(r["logprob"])
+        assert done[r["rollout_id"]]["entropy"][r["pos"]] == pytest.approx(r["entropy"])
+    assert done[99]["logprobs"] is None and done[0]["logprobs"] == []
+    seen = []
+    list(Q._in_token_batches([3, 40, 2, 2, 2], 6, seen.append))
+    assert seen == [(0, 1), (1, 2), (2, 5)]

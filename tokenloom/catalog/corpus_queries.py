@@ -13,18 +13,21 @@ from tokenloom.sources import shards as S
 STORIES_PER_FILE = 64
 
 
-def write_story_files(spark, sf):
-    """JSON-array files of at most 64 stories, one folder per file, named by source and block."""
+def write_story_files(spark, sf, wave=None, path=None):
+    """JSON-array files of at most 64 stories, one folder per file, named by source and block; of one ``wave`` of three if named."""
     story = F.to_json(F.struct(F.col("text").alias("story"), F.col("source").alias("source")))
     block = F.floor(F.col("doc_id") / F.lit(20 * STORIES_PER_FILE)).cast("string")
-    path = new_folder(spark, "stories")
+    path = path or new_folder(spark, "stories")
+    chosen = F.lit(True) if wave is None else F.pmod(F.xxhash64("file"), F.lit(3)) == wave
     (
         t.table(spark, sf, "documents")
         .select(F.concat_ws("-", "source", F.lpad(block, 8, "0")).alias("file"), "doc_id", story.alias("story"))
+        .where(chosen)
         .groupBy("file")
         .agg(F.array_sort(F.collect_list(F.struct("doc_id", "story"))).alias("stories"))
         .select("file", F.concat(F.lit("["), F.array_join("stories.story", ","), F.lit("]")).alias("value"))
-        .write.partitionBy("file")
+        .write.mode("append")
+        .partitionBy("file")
         .text(path)
     )
     return path
@@ -36,10 +39,13 @@ stories AS (SELECT file, row_number() OVER (PARTITION BY file ORDER BY doc_id) -
   FROM files)"""
 
 
+def file_name():
+    return F.regexp_extract("shard", r"file=([^/]+)/", 1)
+
+
 def read_stories(spark, sf):
     path = write_story_files(spark, sf)
-    file = F.regexp_extract("shard", r"file=([^/]+)/", 1)
-    return S.read_shards(spark, f"{path}/*").withColumn("shard", file)
+    return S.read_shards(spark, f"{path}/*").withColumn("shard", file_name())
 
 
 @query("read_shards", f"WITH {SQL_FILES} SELECT file AS shard, doc_pos, story, source FROM stories")
@@ -53,7 +59,8 @@ def read_shards(spark, sf):
     SELECT file AS shard, row_number() OVER (ORDER BY file) - 1 AS shard_id, count(*) OVER () AS num_shards FROM names""",
 )
 def shard_manifest(spark, sf):
-    return S.shard_manifest(read_stories(spark, sf))
+    """From the listing of the files; no story is read."""
+    return S.list_shards(spark, f"{write_story_files(spark, sf)}/*", file_name())
 
 
 @query(
@@ -85,7 +92,7 @@ def write_text_sample(spark, sf):
 def token_shards_round_trip(spark, sf):
     path = new_folder(spark, "token_shards")
     S.write_token_shards(C.pretokenize_bytes(t.corpus(spark, sf)), "tok259", path)
-    return S.read_token_shards(spark, path, "custom", 259).withColumn("ids", text("ids"))
+    return S.read_token_shards(spark, path, "custom", 259).drop("block", "block_start").withColumn("ids", text("ids"))
 
 
 @query("materialize_once", f"WITH {t.SQL_TOKENS} SELECT shard_id, doc_pos, len(ids) AS n_tokens FROM token_docs")

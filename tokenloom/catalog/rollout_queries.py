@@ -7,7 +7,7 @@ from tokenloom.catalog.registry import query, r6, text
 from tokenloom.functions import rollout as R
 from tokenloom.operators import masked as M
 from tokenloom.operators import rollouts as O
-from tokenloom.plans.staging import staged
+from tokenloom.operators import scoring as Q
 
 KEY = ["rollout_id"]
 
@@ -120,6 +120,21 @@ def align_policies(spark, sf):
     return both.select("rollout_id", "pos", r6(F.col("logprobs") - F.col("ref_logprobs")).alias("ratio"))
 
 
+@query(
+    "score_sequences",
+    f"""WITH {t.SQL_CELLS} SELECT rollout_id, CAST(pos AS INTEGER) AS pos, round(logprob, 6) AS logprob,
+      round(entropy, 6) AS entropy FROM cells""",
+)
+def score_sequences(spark, sf):
+    """The policy of ``score_tokens`` as a model that is called with whole sequences."""
+    counts = Q.pair_totals(t.examples(spark, sf).where("split = 'train'"))
+    model = Q.PairModel.of(counts, t.BYTE_VOCAB)
+    rows = t.rollout_rows(spark, sf).select("rollout_id", R.concat_prompt_response(F.col("query_ids"), F.col("response_ids")).alias("ids"))
+    scored = Q.score_sequences(rows, "ids", model, ["logprobs", "entropy"])
+    cells = O.explode_cells(scored, KEY, ["logprobs", "entropy"])
+    return cells.select("rollout_id", "pos", r6("logprobs").alias("logprob"), r6("entropy").alias("entropy"))
+
+
 @query("masked_mean", f"WITH {SQL_VALUES} SELECT round(sum(value * mask) / sum(mask), 6) AS masked_mean FROM vals")
 def masked_mean(spark, sf):
     return M.masked_mean(value_cells(spark, sf)).withColumn("masked_mean", r6("masked_mean"))
@@ -154,7 +169,7 @@ def masked_var(spark, sf):
       round((value - m) / sqrt(v + 1e-8) + m, 6) AS scaled FROM vals CROSS JOIN s""",
 )
 def masked_whiten(spark, sf):
-    white = M.masked_whiten(staged(value_cells(spark, sf), "cells"))
+    white = M.masked_whiten(value_cells(spark, sf))
     both = M.masked_whiten(white, name="scaled", shift_mean=False)
     return both.select("rollout_id", "pos", r6("whitened").alias("whitened"), r6("scaled").alias("scaled"))
 
@@ -309,22 +324,26 @@ def ppo_total_loss(spark, sf):
     )
 
 
-SQL_STATS = f"""{t.SQL_LOSSES}, sums AS (
-  SELECT mini_batch, {SQL_POLICY} AS p, {SQL_VALUE} AS v, {SQL_RATIO} AS r,
+def _sql_stats(by, source="losses"):
+    return f"""{t.SQL_LOSSES}, sums AS (
+  SELECT {by}, {SQL_POLICY} AS p, {SQL_VALUE} AS v, {SQL_RATIO} AS r,
     sum(entropy * mask) / sum(mask) AS entropy, sum((logprob - new_logprob) * mask) / sum(mask) AS policykl,
     0.5::DOUBLE * sum((logprob - new_logprob) ** 2 * mask) / sum(mask) AS approxkl, {SQL_POLICY_CLIP} AS pclip,
     sum(white * mask) / sum(mask) AS adv_mean, sum(ret * mask) / sum(mask) AS ret_mean,
     var_samp(ret) FILTER (WHERE mask = 1) AS ret_var, sum(vpred * mask) / sum(mask) AS vpred,
     sum((vpred - ret) ** 2 * mask) / sum(mask) AS err, {SQL_VALUE_CLIP} AS vclip,
     sum(masked_value * mask) / sum(mask) AS v_mean, var_samp(masked_value) FILTER (WHERE mask = 1) AS v_var
-  FROM (SELECT * RENAME (v AS masked_value) FROM losses) GROUP BY mini_batch),
+  FROM (SELECT * RENAME (v AS masked_value) FROM {source}) GROUP BY {by}),
 stats AS (
-  SELECT mini_batch, CASE WHEN r > 1.5 THEN 0 ELSE p END AS "loss/policy", CASE WHEN r > 1.5 THEN 0 ELSE v END AS "loss/value",
+  SELECT {by}, CASE WHEN r > 1.5 THEN 0 ELSE p END AS "loss/policy", CASE WHEN r > 1.5 THEN 0 ELSE v END AS "loss/value",
     CASE WHEN r > 1.5 THEN 0 ELSE p + 0.1::DOUBLE * v END AS "loss/total", entropy AS "policy/entropy",
     policykl AS "policy/policykl", approxkl AS "policy/approxkl", pclip AS "policy/clipfrac",
     adv_mean AS "policy/advantages_mean", ret_mean AS "returns/mean", ret_var AS "returns/var", vpred AS "val/vpred",
     err AS "val/error", vclip AS "val/clipfrac", v_mean AS "val/mean", v_var AS "val/var" FROM sums)"""
 
+
+SQL_STATS = _sql_stats("mini_batch")
+
 STAT_NAMES = (
     "loss/policy loss/value loss/total policy/entropy policy/policykl policy/approxkl policy/clipfrac "
     "policy/advantages_mean returns/mean returns/var val/vpred val/error val/clipfrac val/mean val/var"
@@ -340,6 +359,29 @@ def ppo_stats(spark, sf):
     return flat.select("mini_batch", *[r6(F.col(f"`{n}`")).alias(n) for n in STAT_NAMES])
 
 
+EPOCHS, MINI_BATCH, GRAD_ACCUM = 4, 8, 4
+# Cells without their own mini-batch, once an epoch in that of the permutation.
+SQL_PERMUTED = f"""(
+    SELECT l.*, k.epoch, k.place // {MINI_BATCH * GRAD_ACCUM} AS backward_batch,
+      (k.place % {MINI_BATCH * GRAD_ACCUM}) // {MINI_BATCH} AS mini_batch
+    FROM (SELECT * EXCLUDE (mini_batch) FROM losses) l JOIN (
+      SELECT rollout_id, epoch, row_number() OVER (PARTITION BY epoch ORDER BY md5('0|' || epoch || '|' || rollout_id), rollout_id) - 1
+        AS place FROM rollouts CROSS JOIN range({EPOCHS}) e(epoch)) k USING (rollout_id))"""
+
+
+@query(
+    "ppo_step",
+    f"""WITH {_sql_stats("epoch, backward_batch, mini_batch", SQL_PERMUTED)}
+    SELECT CAST(epoch AS INTEGER) AS epoch, backward_batch, mini_batch, """
+    + ", ".join(f'round("{n}", 6) AS "{n}"' for n in STAT_NAMES)
+    + " FROM stats",
+)
+def ppo_step(spark, sf):
+    """Every epoch permutes the rollouts into mini-batches of 8, four to a backward batch."""
+    flat = M.flatten_stats(O.ppo_step(advantaged(spark, sf), EPOCHS, MINI_BATCH, GRAD_ACCUM))
+    return flat.select("epoch", "backward_batch", "mini_batch", *[r6(F.col(f"`{n}`")).alias(n) for n in STAT_NAMES])
+
+
 @query(
     "stack_and_mean_stats",
     f"WITH {SQL_STATS} SELECT mini_batch // 2 AS step, "

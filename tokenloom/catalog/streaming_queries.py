@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from tokenloom.catalog import tables as t
-from tokenloom.catalog.corpus_queries import SQL_FILES, write_story_files
+from tokenloom.catalog import vocab_queries as VQ
+from tokenloom.catalog.corpus_queries import SQL_FILES, file_name, write_story_files
 from tokenloom.catalog.registry import query, r6, text
 from tokenloom.catalog.runlog_queries import eval_log
 from tokenloom.plans.staging import new_folder
@@ -26,16 +27,21 @@ def in_waves(df, order, start):
 
 @query(
     "stream_pretokenize",
-    f"""WITH {SQL_FILES}, clean AS (
-      SELECT file, doc_pos, {t.SQL_STRIP.replace('(text', '(story')} AS text FROM stories)
-    SELECT file AS shard, doc_pos, array_to_string(list_concat([1], {t.sql_bytes('text')}), ',') AS ids FROM clean""",
+    f"""WITH {VQ.SQL_ENCODED}, {SQL_FILES},
+    numbered AS (SELECT file, row_number() OVER (PARTITION BY file ORDER BY doc_id) - 1 AS doc_pos, doc_id FROM files)
+    SELECT file AS shard, n.doc_pos, array_to_string(ids, ',') AS ids FROM numbered n JOIN encoded e ON e.doc_pos = n.doc_id""",
 )
 def stream_pretokenize(spark, sf):
-    stories = jobs.read_shard_stream(spark, f"{write_story_files(spark, sf)}/*")
-    folder = new_folder(spark, "stream")
-    jobs.stream_pretokenize(stories, folder).awaitTermination()
+    """Shards arrive in three waves and are tokenized with the trained vocabulary; those of the first come again with the last."""
+    path, folder = new_folder(spark, "arrivals"), new_folder(spark, "stream")
+    vocabulary = VQ.trained(spark, sf)
+    for waves in ((0,), (1,), (2, 0)):
+        for wave in waves:
+            write_story_files(spark, sf, wave, path)
+        stories = jobs.read_shard_stream(spark, f"{path}/*").withColumn("shard", file_name())
+        jobs.stream_pretokenize(stories, folder, vocabulary, f"tok{VQ.VOCAB_SIZE}").awaitTermination()
     done = spark.read.parquet(f"{folder}/output")
-    return done.select(F.regexp_extract("shard", r"file=([^/]+)/", 1).alias("shard"), "doc_pos", text("ids").alias("ids"))
+    return done.select("shard", "doc_pos", text("ids").alias("ids"))
 
 
 @query(

@@ -73,8 +73,10 @@ cut AS (
   FROM streams),
 chunks AS MATERIALIZED (SELECT shard_id, unnest(numbers) AS chunk_id, unnest(parts) AS chunk FROM cut)"""
 
-SQL_COUNTS = f"""{SQL_CHUNKS},
-steps AS (SELECT shard_id, unnest(chunk[1:{LENGTH}]) AS context, unnest(chunk[2:{LENGTH + 1}]) AS next FROM chunks),
+# The pairs of all chunks of a shard are those of its stream up to the last chunk's end.
+SQL_COUNTS = f"""{SQL_STREAMS},
+used AS (SELECT shard_id, toks, greatest(len(toks) // {LENGTH} - 1, 0) * {LENGTH} AS n FROM streams),
+steps AS (SELECT shard_id, unnest(toks[1:n]) AS context, unnest(toks[2:n + 1]) AS next FROM used),
 counts_train AS MATERIALIZED (SELECT context, next, count(*) AS cnt FROM steps WHERE shard_id > 0 GROUP BY ALL),
 counts_all AS MATERIALIZED (SELECT context, next, count(*) AS cnt FROM steps GROUP BY ALL)"""
 

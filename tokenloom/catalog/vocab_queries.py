@@ -73,7 +73,7 @@ def char_inventory(spark, sf):
 
 
 SQL_PAIRS = f"""{SQL_WORDS},
-symbols AS (SELECT cnt, regexp_extract_all(word, '(?s).') AS s FROM words),
+symbols AS (SELECT cnt, string_split(word, '') AS s FROM words),
 pairs AS (
   SELECT s[i] AS l, s[i + 1] AS r, CAST(sum(cnt) AS BIGINT) AS cnt
   FROM (SELECT cnt, s, unnest(range(1, len(s))) AS i FROM symbols) GROUP BY ALL)"""
@@ -88,7 +88,7 @@ def pair_counts(spark, sf):
     "bpe_step",
     f"""WITH {SQL_PAIRS}, best AS (SELECT l, r FROM pairs ORDER BY cnt DESC, length(l || r), l || r, l LIMIT 1),
     first_symbols AS (SELECT word, cnt, array_to_string(list_transform(
-      regexp_extract_all(word, '(?s).'), lambda c: chr(1) || c || chr(2)), '') AS symbols FROM words)
+      string_split(word, ''), lambda c: chr(1) || c || chr(2)), '') AS symbols FROM words)
     SELECT word, cnt, replace(symbols, chr(1) || l || chr(2) || chr(1) || r || chr(2), chr(1) || l || r || chr(2))
       AS symbols FROM first_symbols CROSS JOIN best""",
 )
@@ -99,36 +99,58 @@ def bpe_step(spark, sf):
     return V.bpe_step(words, best["left"], best["right"])
 
 
-# One round of the recursion is one merge over the table of distinct words, as many as the vocabulary has room for.
-SQL_TRAINED = f"""RECURSIVE {SQL_CHARS},
-rounds AS (
-  SELECT 0 AS k, cnt, array_to_string(list_transform(regexp_extract_all(word, '(?s).'), lambda c: chr(1) || c || chr(2)), '')
-    AS symbols, '' AS l, '' AS r FROM words WHERE length(word) > 1
+def _sql_trained(words: str) -> str:
+    """Merges learned from the CTE ``words`` (word, cnt), one a round of the recursion, as many as the vocabulary has room for."""
+    return f"""rounds AS (
+  SELECT 0 AS k, word, cnt, array_to_string(list_transform(string_split(word, ''), lambda c: chr(1) || c || chr(2)), '')
+    AS symbols, '' AS l, '' AS r FROM {words} WHERE length(word) > 1
   UNION ALL
-  SELECT k + 1, cnt, replace(symbols, chr(1) || b.l || chr(2) || chr(1) || b.r || chr(2), chr(1) || b.l || b.r || chr(2)), b.l, b.r
+  SELECT k + 1, word, cnt, replace(symbols, chr(1) || b.l || chr(2) || chr(1) || b.r || chr(2), chr(1) || b.l || b.r || chr(2)), b.l, b.r
   FROM rounds CROSS JOIN (
     SELECT l, r FROM (
       SELECT s[i] AS l, s[i + 1] AS r, sum(cnt) AS n FROM (
         SELECT cnt, s, unnest(range(1, len(s))) AS i FROM (
-          SELECT cnt, string_split(substr(symbols, 2, length(symbols) - 2), chr(2) || chr(1)) AS s FROM rounds))
+          SELECT cnt, string_split(substr(symbols, 2, length(symbols) - 2), chr(2) || chr(1)) AS s FROM rounds WHERE cnt > 0))
       GROUP BY ALL)
     ORDER BY n DESC, length(l || r), l || r, l LIMIT 1) b
   WHERE k < {VOCAB_SIZE} - {V.FIRST_FREE_ID} - (SELECT count(*) FROM chars)),
-merges AS (SELECT k - 1 AS rank, any_value(l) AS l, any_value(r) AS r FROM rounds WHERE k > 0 GROUP BY k)"""
-
-
-@query(
-    "train_bpe",
-    f"""WITH {SQL_TRAINED}, pieces AS (
-      SELECT 0 AS part, rank AS ord, l || r AS piece, 'merge' AS kind FROM merges
-      UNION ALL SELECT 1, row_number() OVER (ORDER BY cnt DESC, ch), ch, 'char' FROM chars),
-    vocab AS (
-      SELECT 0 AS id, '<unk>' AS piece, 0 AS score, 'unk' AS kind UNION ALL SELECT 1, '<s>', 0, 'bos'
-      UNION ALL SELECT 2, '</s>', 0, 'eos'
-      UNION ALL SELECT b + 3, '<0x' || upper(lpad(to_base(b, 16), 2, '0')) || '>', 0, 'byte' FROM range(256) r(b)
-      UNION ALL SELECT 258 + row_number() OVER (ORDER BY part, ord), piece, 1 - row_number() OVER (ORDER BY part, ord), kind FROM pieces)
-    SELECT CAST(id AS INTEGER) AS id, piece, CAST(score AS FLOAT) AS score, kind FROM vocab""",
-)
+merges AS (SELECT k - 1 AS rank, any_value(l) AS l, any_value(r) AS r FROM rounds WHERE k > 0 GROUP BY k),
+pieces AS (
+  SELECT 0 AS part, rank AS ord, l || r AS piece, 'merge' AS kind FROM merges
+  UNION ALL SELECT 1, row_number() OVER (ORDER BY cnt DESC, ch), ch, 'char' FROM chars),
+vocab AS (
+  SELECT 0 AS id, '<unk>' AS piece, 0 AS score, 'unk' AS kind UNION ALL SELECT 1, '<s>', 0, 'bos'
+  UNION ALL SELECT 2, '</s>', 0, 'eos'
+  UNION ALL SELECT b + 3, '<0x' || upper(lpad(to_base(b, 16), 2, '0')) || '>', 0, 'byte' FROM range(256) r(b)
+  UNION ALL SELECT 258 + row_number() OVER (ORDER BY part, ord), piece, 1 - row_number() OVER (ORDER BY part, ord), kind FROM pieces)"""
+
+
+SQL_TRAINED = f"RECURSIVE {SQL_CHARS},\n{_sql_trained('words')}"
+
+# Words to encode go through the same merges with a count of 0, so they have no say in them.
+SQL_ENCODED = f"""RECURSIVE {SQL_CHARS},
+texts AS (
+  SELECT shard_id, doc_pos, CASE WHEN length(text) = 0 THEN [] ELSE regexp_extract_all('{MARK}' || replace(text, ' ', '{MARK}'),
+    '[\\n\\x01\\x02]|[0-9０-９]|{MARK}*[^{MARK}0-9０-９\\n\\x01\\x02]+|{MARK}+') END AS ws FROM clean),
+places AS (SELECT shard_id, doc_pos, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM texts),
+all_words AS (
+  SELECT word, CAST(sum(cnt) AS BIGINT) AS cnt FROM (
+    SELECT word, cnt FROM words UNION ALL SELECT DISTINCT word, 0 FROM places) GROUP BY word),
+{_sql_trained('all_words')},
+symbols AS (
+  SELECT word, string_split(substr(symbols, 2, length(symbols) - 2), chr(2) || chr(1)) AS s
+  FROM rounds WHERE k = (SELECT max(k) FROM rounds) UNION ALL SELECT word, [word] FROM all_words WHERE length(word) = 1),
+coded AS (
+  SELECT word, flatten(list(CASE WHEN v.id IS NOT NULL THEN [CAST(v.id AS INTEGER)] ELSE {t.sql_bytes('sym')} END ORDER BY i)) AS ids
+  FROM (SELECT word, unnest(s) AS sym, generate_subscripts(s, 1) AS i FROM symbols) x
+  LEFT JOIN vocab v ON v.piece = x.sym AND v.kind IN ('char', 'merge') GROUP BY word),
+encoded AS (
+  SELECT t.shard_id, t.doc_pos, list_concat([1], coalesce(e.ids, [])) AS ids FROM texts t LEFT JOIN (
+    SELECT shard_id, doc_pos, flatten(list(ids ORDER BY i)) AS ids FROM places JOIN coded USING (word) GROUP BY ALL) e
+  USING (shard_id, doc_pos))"""
+
+
+@query("train_bpe", f"WITH {SQL_TRAINED} SELECT CAST(id AS INTEGER) AS id, piece, CAST(score AS FLOAT) AS score, kind FROM vocab")
 def train_bpe(spark, sf):
     """The trained vocabulary; the twin merges one pair at a time and holds as long as no merge spells a known piece."""
     return trained(spark, sf).vocab
@@ -165,9 +187,13 @@ def encode_chars(spark, sf):
     return encoded.select("shard_id", "doc_pos", text("ids").alias("ids"))
 
 
-@query("encode_corpus")
+@query(
+    "encode_corpus",
+    f"""WITH {SQL_ENCODED} SELECT shard_id, doc_pos, array_to_string(ids, ',') AS ids, CAST(len(ids) AS INTEGER) AS n_tokens
+    FROM encoded""",
+)
 def encode_corpus(spark, sf):
-    """Encoding with the trained vocabulary; checked by the round trip."""
+    """Encoding with the trained vocabulary; the twin replays its merges on all words of the texts."""
     encoded = C.pretokenize(t.corpus(spark, sf), lambda d: V.encode_corpus(d, trained(spark, sf)))
     return encoded.select("shard_id", "doc_pos", text("ids").alias("ids"), "n_tokens")
 

@@ -93,7 +93,7 @@ def pad_batch(df: DataFrame, batch: str = "batch_id") -> DataFrame:
     missing = F.col("_longest") - F.size("input_ids")
     mask_missing = F.col("_longest") - F.size("attention_mask")
     return (
-        lookup(df, longest, [batch])
+        lookup(df, longest, [batch], null_safe=True)
         .withColumns(
             {
                 "input_ids": F.concat("input_ids", F.array_repeat(F.lit(PAD_ID), missing)),

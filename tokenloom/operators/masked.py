@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tokenloom.plans.staging import staged_with
+
 # Fixed value: keeps the whitening factor finite.
 WHITEN_EPS = 1e-8
+EMPTY_MASK = "the mask is empty, a variance does not exist"
 
 
 def mean_of(value: Column, mask: Column) -> Column:
@@ -22,7 +25,7 @@ def var_of(value: Column, mask: Column, unbiased: bool = True) -> Column:
     inside = F.when(mask == 1, value)
     if not unbiased:
         return F.var_pop(inside)
-    failed = F.raise_error(F.lit("the mask is empty, a variance does not exist")).cast("double")
+    failed = F.raise_error(F.lit(EMPTY_MASK)).cast("double")
     return F.when(F.coalesce(F.sum(mask), F.lit(0)) == 0, failed).otherwise(F.var_samp(inside))
 
 
@@ -41,18 +44,22 @@ def masked_whiten(
 ) -> DataFrame:
     """Centre and scale all cells by the masked mean and variance; masked-out cells are transformed too.
 
-    The statistics are a one-row subquery: no window and no join over the cells.
+    The cells are written once, the statistics are observed on the way: ``df`` is computed once, and its cells are read
+    once afterwards.
     """
-    stats = df.agg(
-        F.struct(
-            mean_of(F.col(value), F.col(mask)).alias("mean"), var_of(F.col(value), F.col(mask)).alias("var")
-        ).alias("s")
-    ).scalar()
-    held = df.withColumn("_stats", stats)
-    scaled = (F.col(value) - F.col("_stats.mean")) / F.sqrt(F.col("_stats.var") + F.lit(WHITEN_EPS))
-    if not shift_mean:
-        scaled = scaled + F.col("_stats.mean")
-    return held.withColumn(name, scaled).drop("_stats")
+    v, m = F.col(value), F.col(mask)
+    held, stats = staged_with(df, "cells", F.sum(m).alias("n"), mean_of(v, m).alias("mean"), F.var_samp(F.when(m == 1, v)).alias("var"))
+    return held.withColumn(name, whitened(F.col(value), stats, shift_mean))
+
+
+def whitened(value: Column, stats: dict, shift_mean: bool = True) -> Column:
+    """A value by observed ``n``, ``mean`` and ``var``; without masked-in cells that is an error, with one it is NULL."""
+    if not stats["n"]:
+        return F.raise_error(F.lit(EMPTY_MASK)).cast("double")
+    if stats["var"] is None:
+        return F.lit(None).cast("double")
+    scaled = (value - F.lit(stats["mean"])) / F.lit((stats["var"] + WHITEN_EPS) ** 0.5)
+    return scaled if shift_mean else scaled + F.lit(stats["mean"])
 
 
 def flatten_stats(df: DataFrame, sep: str = "/") -> DataFrame:
@@ -62,7 +69,7 @@ def flatten_stats(df: DataFrame, sep: str = "/") -> DataFrame:
     def walk(fields: list[T.StructField], path: list[str]) -> None:
         for field in fields:
             if sep in field.name:
-                raise ValueError(f"separator {sep!r} not allowed in key {field.name!r}")
+                raise ValueError(f"field {field.name!r} holds {sep!r}, the separator of nested names")
             here = [*path, field.name]
             if isinstance(field.dataType, T.StructType):
                 walk(field.dataType.fields, here)

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.operators.corpus import split_name
-from tokenloom.plans.lookups import lookup
+from tokenloom.plans.lookups import BROADCAST_ROWS, join_null_safe, lookup
 from tokenloom.plans.running import BUCKET_WIDTH, blocks, hashed_position, running
 
 # Fixed values of the per-worker shuffle seed.
@@ -20,11 +20,35 @@ BASE_SEED = 42
 RANK_STRIDE = 1337
 
 
-def token_offsets(df: DataFrame, width: int = BUCKET_WIDTH) -> DataFrame:
-    """Add ``start``: the position of each document in the token stream of its shard."""
-    sizes = df if "n_tokens" in df.columns else df.withColumn("n_tokens", F.size("ids"))
+def _with_sizes(df: DataFrame) -> DataFrame:
+    return df if "n_tokens" in df.columns else df.withColumn("n_tokens", F.size("ids"))
+
+
+def _stored(df: DataFrame) -> bool:
+    """Whether the table carries the layout that ``write_token_shards`` has written."""
+    return {"block", "block_start"} <= set(df.columns)
+
+
+def _block_starts(df: DataFrame) -> DataFrame:
+    """(shard_id, block, _first, _shard_tokens) from the totals of stored blocks, a small table.
+
+    Positions inside a block hold only for all of its documents, so a block with a gap is an error.
+    """
+    tokens = F.sum(F.col("n_tokens").cast("long"))
+    totals = df.groupBy("shard_id", "block").agg(tokens.alias("_tokens"), F.max(F.col("block_start") + F.col("n_tokens")).alias("_end"))
+    whole = F.when(F.col("_tokens") == F.col("_end"), F.col("_tokens")).otherwise(F.raise_error(F.lit("documents of a stored block are missing: drop block and block_start")).cast("long"))
+    earlier = Window.partitionBy("shard_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("shard_id", "block", whole.alias("_tokens")).select(
+        "shard_id",
+        "block",
+        F.coalesce(F.sum("_tokens").over(earlier), F.lit(0)).alias("_first"),
+        F.sum("_tokens").over(Window.partitionBy("shard_id")).alias("_shard_tokens"),
+    )
+
+
+def _narrow_offsets(df: DataFrame, width: int) -> DataFrame:
     return running(
-        sizes,
+        df.select("shard_id", "doc_pos", "n_tokens"),
         group=["shard_id"],
         bucket=[blocks("doc_pos", width)],
         order=["doc_pos"],
@@ -34,49 +58,111 @@ def token_offsets(df: DataFrame, width: int = BUCKET_WIDTH) -> DataFrame:
     )
 
 
+def _located(df: DataFrame, width: int) -> DataFrame:
+    """``df`` with ``start`` and ``_shard_tokens``; token arrays do not move here.
+
+    Of a stored layout only block totals are joined. Otherwise positions are computed on (shard, position, size) rows and
+    joined back, for which a position must be unique in its shard.
+    """
+    if _stored(df):
+        found = lookup(df, _block_starts(df), ["shard_id", "block"], null_safe=True)
+        return found.withColumn("start", F.col("_first") + F.col("block_start")).drop("_first")
+    narrow = df.select("shard_id", "doc_pos", "n_tokens")
+    totals = narrow.groupBy("shard_id").agg(F.sum(F.col("n_tokens").cast("long")).alias("_shard_tokens"))
+    starts = join_null_safe(_narrow_offsets(narrow, width), totals, ["shard_id"]).drop("n_tokens")
+    # three numbers a document: their count is their size
+    return join_null_safe(df, starts, ["shard_id", "doc_pos"], small=narrow.count() <= BROADCAST_ROWS)
+
+
+def token_offsets(df: DataFrame, width: int = BUCKET_WIDTH) -> DataFrame:
+    """Add ``start``: the position of each document in the token stream of its shard."""
+    sizes = _with_sizes(df)
+    if not _stored(df) and set(sizes.columns) == {"shard_id", "doc_pos", "n_tokens"}:
+        return _narrow_offsets(sizes, width)
+    return _located(sizes, width).drop("_shard_tokens")
+
+
+def _chunks(tokens: Column, length: int) -> Column:
+    return F.greatest(F.floor(tokens / F.lit(length)) - 1, F.lit(0)).cast("long")
+
+
 def chunk_counts(df: DataFrame, length: int) -> DataFrame:
     """Tokens and chunks per shard: ``tokens div length - 1`` chunks are kept, never fewer than 0."""
     tokens = F.sum((F.col("n_tokens") if "n_tokens" in df.columns else F.size("ids")).cast("long"))
-    chunks = F.floor(F.col("tokens") / F.lit(length)) - 1
-    return (
-        df.groupBy("shard_id")
-        .agg(tokens.alias("tokens"))
-        .withColumn("chunks", F.greatest(chunks, F.lit(0)).cast("long"))
-    )
+    return df.groupBy("shard_id").agg(tokens.alias("tokens")).withColumn("chunks", _chunks(F.col("tokens"), length))
 
 
-def pack_sequences(df: DataFrame, length: int, width: int = BUCKET_WIDTH) -> DataFrame:
+def pack_sequences(df: DataFrame, length: int, width: int = BUCKET_WIDTH, strict: bool = False) -> DataFrame:
     """Cut every shard's stream at multiples of ``length``: chunk i holds tokens [i*L, i*L + L + 1).
 
-    Documents are sliced into the chunks they touch, so rows grow with documents and chunks, not with tokens.
+    Documents are sliced into the chunks they touch, so rows grow with documents and chunks, not with tokens, and token
+    arrays are shuffled once, by chunk. ``strict`` fails on a shard too small for a chunk.
+    """
+    located = _located(_with_sizes(df), width).withColumn("_chunks", _chunks(F.col("_shard_tokens"), length))
+    if strict:
+        message = F.concat(F.lit("shard too small for a chunk: "), F.coalesce(F.col("shard_id").cast("string"), F.lit("NULL")))
+        located = located.where(F.when(F.col("_chunks") == 0, F.raise_error(message).cast("boolean")).otherwise(True))
+    return _gathered(_cut(located, length, F.col("_chunks") - 1)).drop("_tail")
+
+
+def _cut(located: DataFrame, length: int, last_chunk: Column, tail: bool = False) -> DataFrame:
+    """Documents with ``start`` to the parts (shard_id, chunk_id, _tail, _low, part) of chunks up to ``last_chunk``.
+
+    With ``tail``, also one part of each document that reaches behind them, as chunk ``last_chunk + 1``.
     """
     L = F.lit(length).cast("long")
     start, end = F.col("start"), F.col("start") + F.col("n_tokens")
     # A token at a multiple of L is also the last label of the chunk before it.
     first = F.greatest(F.floor((start - 1) / L), F.lit(0)).cast("long")
     last = F.floor((end - 1) / L).cast("long")
-    counts = chunk_counts(df, length).select("shard_id", "chunks")
-    located = lookup(token_offsets(df, width), counts, ["shard_id"])
-    upto = F.least(last, F.col("chunks") - 1)
+    behind = (last_chunk + 1) * L
+    numbers = F.when(first <= F.least(last, last_chunk), F.sequence(first, F.least(last, last_chunk))).otherwise(F.array().cast("array<long>"))
+    if tail:
+        numbers = F.concat(numbers, F.when(end > behind, F.array(last_chunk + 1)).otherwise(F.array().cast("array<long>")))
+    is_tail = F.col("chunk_id") == last_chunk + 1
     low = F.greatest(start, F.col("chunk_id") * L)
-    high = F.least(end, F.col("chunk_id") * L + L + 1)
+    high = F.when(is_tail, end).otherwise(F.least(end, F.col("chunk_id") * L + L + 1))
     return (
-        located.where((F.col("n_tokens") > 0) & (first <= upto))
-        .withColumn("chunk_id", F.explode(F.sequence(first, upto)))
-        .withColumn("_low", low)
-        .where(F.col("_low") < high)
+        located.where(F.col("n_tokens") > 0)
+        .withColumn("chunk_id", F.explode(numbers))
+        .withColumns({"_low": low, "_high": high, "_tail": is_tail})
+        .where(F.col("_low") < F.col("_high"))
         .select(
             "shard_id",
             "chunk_id",
+            "_tail",
             "_low",
-            F.slice("ids", (F.col("_low") - start + 1).cast("int"), (high - F.col("_low")).cast("int")).alias("part"),
+            F.slice("ids", (F.col("_low") - start + 1).cast("int"), (F.col("_high") - F.col("_low")).cast("int")).alias("part"),
         )
-        .groupBy("shard_id", "chunk_id")
+    )
+
+
+def _gathered(parts: DataFrame) -> DataFrame:
+    return (
+        parts.groupBy("shard_id", "chunk_id", "_tail")
         .agg(F.array_sort(F.collect_list(F.struct("_low", "part"))).alias("parts"))
-        .select("shard_id", "chunk_id", F.flatten(F.col("parts.part")).alias("chunk"))
+        .select("shard_id", "chunk_id", "_tail", F.flatten(F.col("parts.part")).alias("chunk"))
     )
 
 
+def pack_with_tails(df: DataFrame, length: int, before: DataFrame, width: int = BUCKET_WIDTH) -> DataFrame:
+    """Chunks of the streams that go on from ``before`` (shard_id, next_chunk, ids: tokens left over), and what is left over now.
+
+    Rows (shard_id, chunk_id, tail, chunk): chunks numbered on from ``next_chunk``, and for each shard of ``df`` one row with
+    ``tail``, whose ``chunk_id`` is the next chunk's and whose tokens, fewer than 2L, are left over. One pass of offsets.
+    """
+    held = before.select("shard_id", F.lit(-1).cast("long").alias("doc_pos"), "ids", F.size("ids").alias("n_tokens"))
+    docs = _with_sizes(df).select("shard_id", "doc_pos", "ids", "n_tokens").unionByName(held)
+    located = _located(docs, width).withColumn("_chunks", _chunks(F.col("_shard_tokens"), length))
+    packed = _gathered(_cut(located, length, F.col("_chunks") - 1, tail=True))
+    # every shard has a tail of L tokens at least, or all it has: only one without tokens has none
+    empty = docs.groupBy("shard_id").agg(F.sum("n_tokens").alias("_n")).where("_n = 0")
+    none = empty.select("shard_id", F.lit(0).cast("long").alias("chunk_id"), F.lit(True).alias("_tail"), F.array().cast("array<int>").alias("chunk"))
+    numbered = join_null_safe(packed.unionByName(none), before.select("shard_id", "next_chunk"), ["shard_id"], "left")
+    chunk_id = F.col("chunk_id") + F.coalesce("next_chunk", F.lit(0))
+    return numbered.select("shard_id", chunk_id.alias("chunk_id"), F.col("_tail").alias("tail"), "chunk")
+
+
 def shift_xy(df: DataFrame, length: int) -> DataFrame:
     """Inputs and labels of a chunk: the labels are the inputs moved by one token."""
     return df.withColumns({"x": F.slice("chunk", 1, length), "y": F.slice("chunk", 2, length)}).drop("chunk")
@@ -84,10 +170,7 @@ def shift_xy(df: DataFrame, length: int) -> DataFrame:
 
 def training_examples(df: DataFrame, length: int, width: int = BUCKET_WIDTH) -> DataFrame:
     """(split, shard_id, chunk_id, x, y) rows of a token table. A shard too small for a chunk fails the job."""
-    examples = shift_xy(pack_sequences(df, length, width), length)
-    message = F.concat(F.lit("shard too small for a chunk: "), F.col("shard_id").cast("string"))
-    failed = short_shards(df, length).select(F.raise_error(message).cast("boolean").alias("failed")).agg(F.bool_or("failed").alias("failed")).scalar()
-    examples = examples.where(F.coalesce(failed, F.lit(True)))
+    examples = shift_xy(pack_sequences(df, length, width, strict=True), length)
     return examples.select(split_name(F.col("shard_id")).alias("split"), "shard_id", "chunk_id", "x", "y")
 
 
@@ -151,7 +234,7 @@ def assign_batches(df: DataFrame, batch_size: int, digits: int = 3) -> DataFrame
     )
     before = counts.select(*shard, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     return (
-        lookup(placed, before, shard)
+        lookup(placed, before, shard, null_safe=True)
         .withColumn("stream_pos", F.col("_before") + F.col("_in_shard"))
         .withColumn("batch_id", F.floor(F.col("stream_pos") / F.lit(batch_size)).cast("long"))
         .drop("_before", "_in_shard")

@@ -8,14 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions import rollout as R
-from tokenloom.operators.masked import WHITEN_EPS, flatten_stats, mean_of, var_of
+from tokenloom.operators.masked import EMPTY_MASK, flatten_stats, mean_of, var_of, whitened
+from tokenloom.operators.packing import minibatch_permutation
 from tokenloom.operators.recurrence import discounted_suffix_sums
-from tokenloom.plans.staging import staged
+from tokenloom.plans.lookups import join_null_safe
+from tokenloom.plans.staging import staged, staged_with
 
 
 @dataclass(frozen=True)
@@ -36,19 +39,28 @@ class RolloutConfig:
 
 
 def align_rollouts(queries: DataFrame, responses: DataFrame, scores: DataFrame, batch_size: int | None = None) -> DataFrame:
-    """Join queries, responses and scores on ``rollout_id``; the three must hold the same ids (and ``batch_size``)."""
-    sides = None
-    for i, part in enumerate((queries, responses, scores)):
-        tagged = part.select("rollout_id", *[F.lit(int(i == j)).alias(f"_{j}") for j in range(3)])
-        sides = tagged if sides is None else sides.unionByName(tagged)
-    counts = sides.groupBy("rollout_id").agg(*[F.sum(f"_{j}").alias(f"_{j}") for j in range(3)])
-    matched = (F.col("_0") == 1) & (F.col("_1") == 1) & (F.col("_2") == 1)
-    check = counts.agg(F.count(F.lit(1)).alias("n"), F.count_if(~matched).alias("bad")).first()
-    if check["bad"]:
-        raise ValueError(f"{check['bad']} rollouts are not matched one to one in queries, responses and scores")
-    if batch_size is not None and check["n"] != batch_size:
-        raise ValueError(f"{check['n']} rollouts, expected {batch_size}")
-    return queries.join(responses, "rollout_id").join(scores, "rollout_id")
+    """Put queries, responses and scores with the same ``rollout_id`` side by side; all must hold each id exactly once.
+
+    One pass in which each row is shuffled once: an id that is missing, repeated or NULL fails the job, as does another number
+    of rollouts than ``batch_size`` (of empty tables there is no row to fail).
+    """
+    parts = [queries, responses, scores]
+    packed = [F.struct(*[c for c in part.columns if c != "rollout_id"]).alias(f"_{i}") for i, part in enumerate(parts)]
+    kinds = [part.select(p).schema[0].dataType for part, p in zip(parts, packed)]
+    rows = reduce(
+        DataFrame.unionByName,
+        [part.select("rollout_id", *[packed[j] if i == j else F.lit(None).cast(kinds[j]).alias(f"_{j}") for j in range(3)]) for i, part in enumerate(parts)],
+    )
+    together = rows.groupBy("rollout_id").agg(*[F.first(f"_{j}", ignorenulls=True).alias(f"_{j}") for j in range(3)], *[F.count(f"_{j}").alias(f"_n{j}") for j in range(3)])
+    named = F.coalesce(F.col("rollout_id").cast("string"), F.lit("NULL"))
+    failed = F.raise_error(F.concat(F.lit("rollout not matched one to one in queries, responses and scores: "), named)).cast("boolean")
+    once = (F.col("_n0") == 1) & (F.col("_n1") == 1) & (F.col("_n2") == 1) & F.col("rollout_id").isNotNull()
+    matched = together.where(F.when(once, F.lit(True)).otherwise(failed)).select("rollout_id", "_0.*", "_1.*", "_2.*")
+    if batch_size is None:
+        return matched
+    wrong = F.raise_error(F.concat(F.lit(f"expected {batch_size} rollouts, not "), F.col("_all").cast("string"))).cast("boolean")
+    held = matched.withColumn("_all", queries.agg(F.count(F.lit(1))).scalar())
+    return held.where(F.when(F.col("_all") == batch_size, F.lit(True)).otherwise(wrong)).drop("_all")
 
 
 def align_policies(policy: DataFrame, reference: DataFrame) -> DataFrame:
@@ -75,21 +87,29 @@ def explode_cells(df: DataFrame, key: Sequence[str], values: Sequence[str]) -> D
     )
 
 
+def _array_moments(values: Column, mask: Column) -> tuple[Column, Column, Column]:
+    """Number, mean and sum of squared deviations of the masked-in cells of a row."""
+    inside = F.transform(F.filter(F.arrays_zip(values.alias("v"), mask.alias("m")), lambda c: c["m"] == 1), lambda c: c["v"])
+    n = F.size(inside)
+    mean = F.try_divide(F.aggregate(inside, F.lit(0.0), lambda acc, v: acc + v), n)
+    return n, mean, F.aggregate(inside, F.lit(0.0), lambda acc, v: acc + (v - mean) * (v - mean))
+
+
 def whiten_arrays(df: DataFrame, values: str, mask: str = "mask", shift_mean: bool = True) -> DataFrame:
-    """Whiten an array column by the masked statistics over all cells of the table."""
-    cells = df.select(F.explode(F.arrays_zip(F.col(values).alias("v"), F.col(mask).alias("m"))).alias("c"))
-    stats = cells.agg(
-        F.struct(
-            mean_of(F.col("c.v"), F.col("c.m")).alias("mean"), var_of(F.col("c.v"), F.col("c.m")).alias("var")
-        ).alias("s")
-    ).scalar()
-    back = F.lit(0.0) if shift_mean else F.col("_stats.mean")
-    scale = F.sqrt(F.col("_stats.var") + F.lit(WHITEN_EPS))
-    return (
-        df.withColumn("_stats", stats)
-        .withColumn(values, F.transform(values, lambda v: (v - F.col("_stats.mean")) / scale + back))
-        .drop("_stats")
-    )
+    """Whiten an array column by the masked statistics over all cells of the table.
+
+    The rows are written once and their moments observed on the way, so nothing is computed or read a second time.
+    """
+    n, mean, squares = _array_moments(F.col(values), F.col(mask))
+    narrow = df.withColumns({"_n": n, "_mean": mean, "_squares": squares})
+    total = F.sum("_n")
+    middle = F.try_divide(F.sum(F.col("_n") * F.col("_mean")), total)
+    between = F.sum(F.col("_n") * F.col("_mean") * F.col("_mean")) - total * middle * middle
+    held, stats = staged_with(
+        narrow, "whitening", F.coalesce(total, F.lit(0)).alias("n"), middle.alias("mean"),
+        F.when(total > 1, F.greatest(F.sum("_squares") + between, F.lit(0.0)) / (total - 1)).alias("var"),
+    )
+    return held.drop("_n", "_mean", "_squares").withColumn(values, F.transform(values, lambda v: whitened(v, stats, shift_mean)))
 
 
 def compute_rewards(
@@ -128,8 +148,7 @@ def compute_advantages(df: DataFrame, config: RolloutConfig = RolloutConfig()) -
         masked = whiten_arrays(masked, "_rewards", shift_mean=False)
     raw = gae(masked, "_rewards", "values", config).drop("_rewards")
     with_returns = raw.withColumn("returns", F.zip_with("advantages", "values", lambda a, v: a + v))
-    # written once, or the statistics and the whitened arrays would each compute everything above
-    return whiten_arrays(staged(with_returns, "advantages"), "advantages")
+    return whiten_arrays(with_returns, "advantages")
 
 
 def _masked_sum(values: Column, mask: Column) -> Column:
@@ -209,31 +228,45 @@ def _apply_threshold(df: DataFrame, config: RolloutConfig) -> DataFrame:
     )
 
 
+def _cell_terms() -> dict[str, Column]:
+    """What the statistics average over masked-in cells."""
+    drift = F.col("logprobs") - F.col("new_logprobs")
+    error = F.col("vpreds") - F.col("returns")
+    return {
+        "policy_loss": F.greatest("pg", "pg_clipped"),
+        "value_loss": F.greatest("vf", "vf_clipped") * F.lit(0.5),
+        "avg_ratio": F.col("ratio"),
+        "entropy": F.col("entropy"),
+        "policykl": drift,
+        "approxkl": drift * drift * F.lit(0.5),
+        "pg_clipfrac": (F.col("pg_clipped") > F.col("pg")).cast("int"),
+        "advantages_mean": F.col("advantages"),
+        "return_mean": F.col("returns"),
+        "vpred": F.col("vpreds"),
+        "error": error * error,
+        "vf_clipfrac": (F.col("vf_clipped") > F.col("vf")).cast("int"),
+        "value_mean": F.col("values"),
+    }
+
+
+#: Statistics whose variance is reported too, and the cells they are over.
+_SPREAD = {"return": "returns", "value": "values"}
+
+
 def ppo_stats(cells: DataFrame, by: Sequence[str], config: RolloutConfig = RolloutConfig()) -> DataFrame:
     """The statistics of every mini-batch as nested structs; ``flat_ppo_stats`` names them ``a/b``.
 
     One aggregate over the cells. ``approxkl`` is reported next to the sampled ``policykl``.
     """
     m = F.col("mask")
-    drift = F.col("logprobs") - F.col("new_logprobs")
-    error = F.col("vpreds") - F.col("returns")
     sums = cells.groupBy(*by).agg(
-        mean_of(F.greatest("pg", "pg_clipped"), m).alias("policy_loss"),
-        (mean_of(F.greatest("vf", "vf_clipped"), m) * F.lit(0.5)).alias("value_loss"),
-        mean_of(F.col("ratio"), m).alias("avg_ratio"),
-        mean_of(F.col("entropy"), m).alias("entropy"),
-        mean_of(drift, m).alias("policykl"),
-        (mean_of(drift * drift, m) * F.lit(0.5)).alias("approxkl"),
-        mean_of((F.col("pg_clipped") > F.col("pg")).cast("int"), m).alias("pg_clipfrac"),
-        mean_of(F.col("advantages"), m).alias("advantages_mean"),
-        mean_of(F.col("returns"), m).alias("return_mean"),
-        var_of(F.col("returns"), m).alias("return_var"),
-        mean_of(F.col("vpreds"), m).alias("vpred"),
-        mean_of(error * error, m).alias("error"),
-        mean_of((F.col("vf_clipped") > F.col("vf")).cast("int"), m).alias("vf_clipfrac"),
-        mean_of(F.col("values"), m).alias("value_mean"),
-        var_of(F.col("values"), m).alias("value_var"),
+        *[mean_of(term, m).alias(name) for name, term in _cell_terms().items()],
+        *[var_of(F.col(c), m).alias(f"{name}_var") for name, c in _SPREAD.items()],
     )
+    return _nested_stats(sums, by, config)
+
+
+def _nested_stats(sums: DataFrame, by: Sequence[str], config: RolloutConfig) -> DataFrame:
     done = _apply_threshold(sums, config)
 
     def group(**fields: str) -> Column:
@@ -254,6 +287,43 @@ def ppo_stats(cells: DataFrame, by: Sequence[str], config: RolloutConfig = Rollo
     )
 
 
+def rollout_sums(df: DataFrame, config: RolloutConfig = RolloutConfig(), key: str = "rollout_id") -> DataFrame:
+    """One narrow row per rollout: the sums that the statistics of any set of rollouts need. Reads the cells once."""
+    m = F.col("mask")
+    terms = [F.sum(term * m).alias(name) for name, term in _cell_terms().items()]
+    spread = [
+        c
+        for name, v in _SPREAD.items()
+        for c in (F.avg(F.when(m == 1, F.col(v))).alias(f"{name}_middle"), (F.var_pop(F.when(m == 1, F.col(v))) * F.sum(m)).alias(f"{name}_squares"))
+    ]
+    return loss_cells(df, [key], config).groupBy(key).agg(F.sum(m).cast("long").alias("n"), *terms, *spread)
+
+
+def ppo_step(
+    df: DataFrame, epochs: int, mini_batch: int, grad_accum: int = 1, config: RolloutConfig = RolloutConfig(), seed: int = 0, key: str = "rollout_id"
+) -> DataFrame:
+    """Statistics of each mini-batch of a step: ``epoch, backward_batch, mini_batch`` and the structs of ``ppo_stats``.
+
+    Every epoch permutes the rollouts and cuts them into backward batches and mini-batches. Cells are read once, for sums per
+    rollout; only those are grouped anew in each epoch. Sums of squares are joined from those of the rollouts around
+    their own means. A mini-batch without a masked-in cell is an error, as in ``ppo_stats``.
+    """
+    sums = staged(rollout_sums(df, config, key), "rollout-sums")
+    placed = minibatch_permutation(sums, key, epochs, mini_batch, grad_accum, seed)
+    by = ["epoch", "backward_batch", "mini_batch"]
+    n = F.sum("n")
+    means = [F.try_divide(F.sum(name), n).alias(name) for name in _cell_terms()]
+    variances = []
+    for name in _SPREAD:
+        middle, own = F.col(f"{name}_middle"), F.col("n")
+        between = F.sum(own * middle * middle) - F.try_divide(F.sum(own * middle) * F.sum(own * middle), n)
+        squares = F.greatest(F.sum(f"{name}_squares") + between, F.lit(0.0))
+        empty = F.raise_error(F.lit(EMPTY_MASK)).cast("double")
+        variances.append(F.when(F.coalesce(n, F.lit(0)) == 0, empty).otherwise(F.try_divide(squares, n - 1)).alias(f"{name}_var"))
+    grouped = join_null_safe(placed.select(key, *by), sums, [key]).groupBy(*by).agg(*means, *variances)
+    return _nested_stats(grouped, by, config)
+
+
 def flat_ppo_stats(cells: DataFrame, by: Sequence[str], config: RolloutConfig = RolloutConfig()) -> DataFrame:
     return flatten_stats(ppo_stats(cells, by, config))
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tokenloom.functions.scores import ranked_probs
 from tokenloom.plans.lookups import lookup
@@ -89,6 +93,90 @@ def score_tokens(pairs: DataFrame, scorer: Callable[[DataFrame], DataFrame]) ->
     return scored
 
 
+@dataclass(frozen=True)
+class PairModel:
+    """Next-token counts as a model that is called with sequences: add-one smoothed log-probabilities and entropies.
+
+    Pairs are numbers ``context * vocab_size + next`` in order; contexts are an index.
+    """
+
+    vocab_size: int
+    pairs: np.ndarray
+    counts: np.ndarray
+    totals: np.ndarray
+    entropies: np.ndarray
+
+    #: A model is held by the driver and by each worker; tables with more pairs are for the join form.
+    MOST = 4_000_000
+
+    @classmethod
+    def of(cls, counts: DataFrame, vocab_size: int) -> PairModel:
+        rows = counts.select("context", "next", "cnt").limit(cls.MOST + 1).toPandas()
+        if len(rows) > cls.MOST:
+            raise ValueError(f"more than {cls.MOST} pairs: score against the table with score_pairs")
+        pairs = rows["context"].to_numpy(np.int64) * vocab_size + rows["next"].to_numpy(np.int64)
+        order = np.argsort(pairs)
+        cnt = rows["cnt"].to_numpy(np.float64)
+        totals = np.bincount(rows["context"], cnt, vocab_size)
+        weight = np.bincount(rows["context"], (cnt + 1) * np.log(cnt + 1), vocab_size)
+        entropies = np.log(totals + vocab_size) - weight / (totals + vocab_size)
+        return cls(vocab_size, pairs[order], cnt[order], totals, entropies)
+
+    def __call__(self, ids: np.ndarray, lengths: np.ndarray) -> dict[str, np.ndarray]:
+        """Values of all cells of the sequences that stand one after the other in ``ids``; a sequence of n has n - 1."""
+        last = np.cumsum(lengths)[lengths > 0] - 1
+        cell = np.ones(len(ids), bool)
+        cell[last] = False
+        at = np.flatnonzero(cell)
+        context = ids[at].astype(np.int64)
+        pair = context * self.vocab_size + ids[at + 1]
+        place = np.minimum(np.searchsorted(self.pairs, pair), max(len(self.pairs) - 1, 0))
+        seen = np.where(self.pairs[place] == pair, self.counts[place], 0.0) if len(self.pairs) else np.zeros(len(at))
+        return {"logprobs": np.log((seen + 1) / (self.totals[context] + self.vocab_size)), "entropy": self.entropies[context]}
+
+
+def _in_token_batches(lengths: Sequence[int], tokens: int, use: Callable[[tuple[int, int]], object]) -> Iterator:
+    """Rows first to last that hold ``tokens`` tokens at most; a longer row stands alone."""
+    first, held = 0, 0
+    for i, n in enumerate(lengths):
+        if i > first and held + n > tokens:
+            yield use((first, i))
+            first, held = i, 0
+        held += n
+    if first < len(lengths):
+        yield use((first, len(lengths)))
+
+
+def score_sequences(df: DataFrame, ids: str, model: Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray]], names: Sequence[str], tokens: int = 1 << 18) -> DataFrame:
+    """Add arrays ``names`` that a model gives for each cell of a sequence; cell ``pos`` scores token ``pos + 1``.
+
+    Sequences, not cells, go through Arrow, in batches bounded by their tokens; no row moves. The model is broadcast: a worker
+    gets it once, not with each task. A NULL sequence has NULL values, one of fewer than two tokens empty ones.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.ArrayType(T.DoubleType())) for n in names]])
+    place = df.columns.index(ids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(place)
+            lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+            def score(rows: tuple[int, int]) -> pa.RecordBatch:
+                part = batch.slice(rows[0], rows[1] - rows[0])
+                sizes = lengths[rows[0] : rows[1]]
+                flat = part.column(place).flatten().to_numpy(zero_copy_only=False)
+                values = shared.value(flat, sizes)
+                ends = pa.array(np.concatenate([[0], np.cumsum(np.maximum(sizes - 1, 0))]), pa.int32())
+                empty = part.column(place).is_null() if part.column(place).null_count else None
+                arrays = [pa.ListArray.from_arrays(ends, pa.array(values[n], pa.float64()), mask=empty) for n in names]
+                return pa.RecordBatch.from_arrays([*part.columns, *arrays], schema.names)
+
+            yield from _in_token_batches(lengths.tolist(), tokens, score)
+
+    return df.mapInArrow(run, schema)
+
+
 def mean_loss(df: DataFrame, loss: Column, by: Sequence[str] = ()) -> DataFrame:
     """Mean loss over the positions that have one (ignored targets give NULL)."""
     return df.groupBy(*by).agg(F.avg(loss).alias("loss"), F.count(loss).alias("targets"))

@@ -52,7 +52,7 @@ def merge_vector_shards(parts: DataFrame, width: int = BUCKET_WIDTH) -> DataFram
     the parts of one row, row-split matrices get running row numbers in (part, row) order.
     """
     first = parts.groupBy("name").agg(F.min("part").alias("_first"), F.max("part").alias("_last"))
-    known = lookup(parts, first, ["name"])
+    known = lookup(parts, first, ["name"], null_safe=True)
     single = (F.col("ndim") == 1) | (F.col("_first") == F.col("_last"))
     columns = ["name", "ndim", "row_idx", "vec"]
     taken = known.where(single & (F.col("part") == F.col("_first"))).select(*columns)

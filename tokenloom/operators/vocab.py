@@ -7,11 +7,13 @@ they are. The driver only ever sees the best pairs of a round and the finished v
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from heapq import heapify, heappop, heappush
+from functools import reduce
+from heapq import heapify, heappop, heappush, nsmallest
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +40,9 @@ SPACES = f"{SPACE}+"
 ALONE = r"([0-9０-９\n])"
 
 CANDIDATES_PER_ROUND = 256
-MERGES_PER_STAGE = 32
+#: Pairs whose counts the driver is told at a snapshot, and merges between two snapshots.
+PAIRS_LISTED = 8192
+MERGES_PER_STAGE = 96
 
 
 def _split_words(marked: Column) -> Column:
@@ -108,14 +112,18 @@ def symbol_list(symbols: Column) -> Column:
     return F.split(F.substring(symbols, F.lit(2), F.length(symbols) - 2), CLOSE + OPEN)
 
 
-def pair_counts(words: DataFrame) -> DataFrame:
-    """Weighted counts of adjacent symbols."""
-    symbols = symbol_list(F.col("symbols"))
-    pairs = F.zip_with(
+def _adjacent() -> Column:
+    """Adjacent symbols of the array ``_list``."""
+    return F.zip_with(
         F.slice("_list", F.lit(1), F.size("_list") - 1),
         F.slice("_list", F.lit(2), F.size("_list") - 1),
         lambda a, b: F.struct(a.alias("left"), b.alias("right")),
     )
+
+
+def pair_counts(words: DataFrame) -> DataFrame:
+    """Weighted counts of adjacent symbols."""
+    symbols, pairs = symbol_list(F.col("symbols")), _adjacent()
     return (
         words.where(F.contains("symbols", F.lit(CLOSE + OPEN)))
         .select(symbols.alias("_list"), "cnt")
@@ -139,29 +147,36 @@ def bpe_step(words: DataFrame, left: str, right: str) -> DataFrame:
     return words.withColumn("symbols", merged_symbols(F.col("symbols"), left, right))
 
 
+def _in_order(pairs: DataFrame) -> DataFrame:
+    """Most frequent pairs first; on ties the shorter merged piece first, then text order."""
+    return pairs.withColumn("merged", F.concat("left", "right")).orderBy(F.desc("cnt"), F.length("merged"), "merged", "left")
+
+
+def _rank(pair: tuple[str, str], count: int) -> tuple:
+    """The same order for pairs that the driver holds: text order is that of code points on both sides."""
+    return -count, len(pair[0]) + len(pair[1]), pair[0] + pair[1], pair[0]
+
+
 def best_pairs(words: DataFrame, n: int) -> DataFrame:
     """The ``n`` most frequent pairs; on ties the shorter merged piece first, then text order."""
-    return (
-        pair_counts(words)
-        .withColumn("merged", F.concat("left", "right"))
-        .orderBy(F.desc("cnt"), F.length("merged"), "merged", "left")
-        .limit(n)
-    )
+    return _in_order(pair_counts(words)).limit(n)
 
 
-def _independent(ranked: list, complete: bool, known: set[str], room: int) -> list[tuple[str, str]]:
-    """Longest prefix of the ranked pairs that one-at-a-time training would also pick next, in the same order.
+def _independent(ranked: list[tuple[tuple[str, str], int]], floor: int, known: set[str], room: int) -> list[tuple[str, str]]:
+    """Longest prefix of the ranked (pair, count) that one-at-a-time training would also pick next, in the same order.
 
     A pair may follow in the same round only if (i) no accepted pair can take an occurrence from it, and (ii) it is
     strictly more frequent than every pair an accepted merge can create. A new pair (ab, x) or (x, ab) occurs at most
-    as often as (b, x) or (x, a); pairs missing from an incomplete list are bounded by its last count. A merge that
-    spells a known piece ends the round, because it adds to the counts of existing pairs.
+    as often as (b, x) or (x, a); pairs that are not ranked occur ``floor`` times at most. A merge that spells a known
+    piece ends the round, because it adds to the counts of existing pairs.
     """
-    floor = 0 if complete else ranked[-1]["cnt"]
+    after: dict[str, int] = {}
+    before: dict[str, int] = {}
+    for (left, right), count in ranked:
+        after[left], before[right] = max(after.get(left, floor), count), max(before.get(right, floor), count)
     chosen: list[tuple[str, str]] = []
     created, fresh = 0, 0
-    for row in ranked:
-        left, right, count = row["left"], row["right"], row["cnt"]
+    for (left, right), count in ranked:
         if chosen and (count <= created or any(right == a or left == b for a, b in chosen)):
             break
         chosen.append((left, right))
@@ -171,9 +186,7 @@ def _independent(ranked: list, complete: bool, known: set[str], room: int) -> li
         fresh += 1
         if fresh == room:
             break
-        after = max((r["cnt"] for r in ranked if r["left"] == right), default=floor)
-        before = max((r["cnt"] for r in ranked if r["right"] == left), default=floor)
-        created = max(created, min(count, max(after, floor)), min(count, max(before, floor)))
+        created = max(created, min(count, after.get(right, floor)), min(count, before.get(left, floor)))
     return chosen
 
 
@@ -200,23 +213,152 @@ def _vocabulary(spark: SparkSession, merges: list[tuple[str, str]], chars: list[
     return Vocabulary(spark.createDataFrame(rows, VOCAB_SCHEMA), spark.createDataFrame(ranked, MERGE_SCHEMA))
 
 
+def pair_index(words: DataFrame) -> DataFrame:
+    """Inverted index: (left, right, symbols, cnt), a row for each word and different pair in it."""
+    return (
+        words.where(F.contains("symbols", F.lit(CLOSE + OPEN)))
+        .withColumn("_list", symbol_list(F.col("symbols")))
+        .select("symbols", "cnt", F.explode(F.array_distinct(_adjacent())).alias("pair"))
+        .select("pair.left", "pair.right", "symbols", "cnt")
+    )
+
+
+def _patterns(merges: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """What a merge replaces in the symbols of a word, and by what."""
+    return [(OPEN + a + CLOSE + OPEN + b + CLOSE, OPEN + a + b + CLOSE) for a, b in merges]
+
+
+def _replay(merges: list[tuple[str, str]]):
+    """(word, cnt, symbols) with the merges applied in their order."""
+    patterns = _patterns(merges)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for symbols in batch.column(2).to_pylist():
+                for old, new in patterns:
+                    symbols = symbols.replace(old, new)
+                out.append(symbols)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], ["word", "cnt", "symbols"])
+
+    return run
+
+
+def _differences(pending: list[tuple[str, str]], merges: list[tuple[str, str]], keys: list[tuple[str, str]]):
+    """Index rows of ``keys`` to what ``merges`` change in pair counts, after the ``pending`` ones.
+
+    A row (NULL, NULL, n) tells how many words were looked at. A word that stands under several keys counts under the first.
+    """
+    before, now = _patterns(pending), _patterns(merges)
+    found = [old for old, _ in _patterns(keys)]
+    earlier = {key: found[:i] for i, key in enumerate(keys)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        change: dict[tuple[str, str], int] = {}
+        looked = 0
+        for batch in batches:
+            for left, right, symbols, cnt in zip(*(c.to_pylist() for c in batch.columns)):
+                if any(p in symbols for p in earlier[left, right]):
+                    continue
+                looked += 1
+                for old, new in before:
+                    symbols = symbols.replace(old, new)
+                merged = symbols
+                for old, new in now:
+                    merged = merged.replace(old, new)
+                if merged == symbols:
+                    continue
+                for text, sign in ((symbols, -cnt), (merged, cnt)):
+                    parts = text[1:-1].split(CLOSE + OPEN)
+                    for pair in zip(parts, parts[1:]):
+                        change[pair] = change.get(pair, 0) + sign
+        rows = [(None, None, looked), *((a, b, n) for (a, b), n in change.items() if n)]
+        kinds = pa.string(), pa.string(), pa.int64()
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["left", "right", "cnt"])
+
+    return run
+
+
+class _Snapshot:
+    """The words as they were after some merges: their inverted index, and the counts of the best pairs, kept up to date.
+
+    The driver knows the counts of ``listed`` pairs at the snapshot and of all pairs that later merges made: a merge changes
+    only pairs of its own symbols with others, 4 x vocabulary at most. A pair it does not know occurs ``ceiling`` times at most.
+    """
+
+    def __init__(self, words: DataFrame, listed: int) -> None:
+        self.words, self.pending = words, []
+        parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # sorted by pair, so a round reads the pages of its pairs; a frequent pair spans files
+        self.index = staged(pair_index(words).repartitionByRange(parts, "left", "right", "symbols").sortWithinPartitions("left", "right"), "pairs")
+        rows = best_pairs(words, listed).collect()
+        self.counts = {(r["left"], r["right"]): r["cnt"] for r in rows}
+        self.ceiling = self.listed_floor = 0 if len(rows) < listed else rows[-1]["cnt"]
+        self.made: set[str] = set()
+        self.grown: dict[tuple[str, str], int] = {}
+        self.first: dict[str, set[str]] = {}
+        self.last: dict[str, set[str]] = {}
+
+    def ranked(self, n: int) -> list[tuple[tuple[str, str], int]]:
+        """The best pairs that are certain to come before all pairs the driver does not know."""
+        sure = [(p, c) for p, c in self.counts.items() if c > self.ceiling or not self.pending and c > 0]
+        return nsmallest(n, sure, key=lambda row: _rank(*row))
+
+    def merge(self, merges: list[tuple[str, str]], known: set[str]) -> int:
+        """Apply merges in their order; ``known`` are the pieces from before. Returns the words looked at."""
+        keys: dict[tuple[str, str], None] = {}
+        for left, right in merges:
+            firsts, lasts = self.first.get(right, {right}), self.last.get(left, {left})
+            keys.update(dict.fromkeys((a, b) for a in sorted(lasts) for b in sorted(firsts)))
+            both = left + right
+            if both not in known:
+                self.made.add(both)
+            old = set() if both in self.made else {both}
+            self.first[both] = self.first.get(both, old) | self.first.get(left, {left})
+            self.last[both] = self.last.get(both, old) | self.last.get(right, {right})
+        condition = reduce(lambda a, b: a | b, [(F.col("left") == F.lit(a)) & (F.col("right") == F.lit(b)) for a, b in keys])
+        changes = self.index.where(condition).mapInArrow(_differences(self.pending, merges, list(keys)), "left string, right string, cnt long")
+        looked = 0
+        for left, right, change in changes.groupBy("left", "right").agg(F.sum("cnt").alias("cnt")).collect():
+            if left is None:
+                looked = change
+            elif (left, right) in self.counts or left in self.made or right in self.made:
+                self.counts[left, right] = self.counts.get((left, right), 0) + change
+            elif self.listed_floor:  # a pair of old symbols outside the list
+                self.grown[left, right] = self.grown.get((left, right), 0) + change
+                self.ceiling = max(self.ceiling, self.listed_floor + self.grown[left, right])
+            else:
+                self.counts[left, right] = change
+        self.pending += merges
+        return looked
+
+    def settled(self) -> DataFrame:
+        """The words with all merges applied, written anew."""
+        return staged(self.words.mapInArrow(_replay(self.pending), "word string, cnt long, symbols string"), "symbols")
+
+
 def train_bpe(
     words: DataFrame,
     vocab_size: int,
     coverage: float = 1.0,
     candidates: int = CANDIDATES_PER_ROUND,
     batch_rounds: bool = True,
+    listed: int = PAIRS_LISTED,
+    merges_per_stage: int = MERGES_PER_STAGE,
+    on_round: Callable[[list[tuple[str, str]], int], None] | None = None,
 ) -> Vocabulary:
     """Train a vocabulary on (word, cnt): special ids, 256 bytes, merges, then characters by frequency.
 
-    Each round is one job over the distinct words that brings the best pairs to the driver. Several merges are applied
-    per round when that provably equals one-at-a-time training (``batch_rounds``). The word table is rewritten every
-    ``MERGES_PER_STAGE`` merges to keep plans short.
+    Pairs are counted once for each snapshot of the words. A round reads the words that hold its pairs from an inverted index and
+    brings back what changes in the counts, so its work shrinks with the merged pair. Several merges are applied per round
+    when that provably equals one-at-a-time training (``batch_rounds``). A new snapshot is taken every ``merges_per_stage``
+    merges, or when a pair outside the ``listed`` ones may be the best. ``on_round`` is told the merges of each round and the
+    number of words it looked at.
     """
     if vocab_size <= 0:
         raise ValueError("the vocabulary size must be positive")
     spark = words.sparkSession
-    counted = staged(words.select("word", "cnt"), "words")
+    counted = staged(words.select("word", F.col("cnt").cast("long").alias("cnt")), "words")
     # The loop is bound by computing, not by reading: a small table is spread over all cores once.
     counted = spread_small(counted, "word")
     room = vocab_size - FIRST_FREE_ID
@@ -224,24 +366,25 @@ def train_bpe(
     chars = [r["ch"] for r in kept.limit(max(room, 0) + 1).collect()]
     if len(chars) > room:
         raise ValueError(f"{len(chars)} or more characters do not fit a vocabulary of {vocab_size}")
-    table = staged(with_symbols(_without_rare_chars(counted, chars, coverage)), "symbols")
     merges: list[tuple[str, str]] = []
-    pending: list[tuple[str, str]] = []
-    known, target = set(chars), room
-    while len(known) < target:
-        current = table
-        for left, right in pending:
-            current = bpe_step(current, left, right)
-        if len(pending) >= MERGES_PER_STAGE:
-            table, pending = staged(current, "symbols"), []
-            current = table
-        ranked = best_pairs(current, candidates).collect()
+    known = set(chars)
+    if len(known) == room:
+        return _vocabulary(spark, merges, chars)
+    state = _Snapshot(staged(with_symbols(_without_rare_chars(counted, chars, coverage)), "symbols"), listed)
+    while len(known) < room:
+        ranked = state.ranked(candidates)
+        if state.pending and (not ranked and state.ceiling or len(state.pending) >= merges_per_stage):
+            state = _Snapshot(state.settled(), listed)
+            continue
         if not ranked:
             break
-        limit = target - len(known) if batch_rounds else 1
-        batch = _independent(ranked, len(ranked) < candidates, known, limit)[: None if batch_rounds else 1]
+        before = set(known)
+        floor = max(state.ceiling, ranked[-1][1] if len(ranked) == candidates else 0)
+        batch = _independent(ranked, floor, known, room - len(known) if batch_rounds else 1)[: None if batch_rounds else 1]
+        looked = state.merge(batch, before)
         merges += batch
-        pending += batch
+        if on_round:
+            on_round(batch, looked)
     return _vocabulary(spark, merges, chars)
 
 
@@ -302,8 +445,10 @@ class Segmenter(dict):
         return [s for s in symbol if s is not None]
 
 
-def encode_corpus(docs: DataFrame, vocabulary: Vocabulary, bos: bool = True, eos: bool = False) -> DataFrame:
-    """(shard_id, doc_pos, text) to (shard_id, doc_pos, ids, n_tokens).
+def encode_corpus(
+    docs: DataFrame, vocabulary: Vocabulary, bos: bool = True, eos: bool = False, keep: Sequence[str] = ("shard_id", "doc_pos")
+) -> DataFrame:
+    """(shard_id, doc_pos, text) to (shard_id, doc_pos, ids, n_tokens); ``keep`` may name other columns to carry.
 
     Rows stay where they are: one Arrow pass over the texts with the merges, whose number the vocabulary size bounds,
     and a cache of words per task. No word occurrence is shuffled, so a frequent word is no hot key.
@@ -324,7 +469,7 @@ def encode_corpus(docs: DataFrame, vocabulary: Vocabulary, bos: bool = True, eos
                 ]
             )
 
-    encoded = docs.select("shard_id", "doc_pos", add_bos_eos(to_ids("text"), bos, eos).alias("ids"))
+    encoded = docs.select(*keep, add_bos_eos(to_ids("text"), bos, eos).alias("ids"))
     return encoded.withColumn("n_tokens", F.size("ids"))
 
 

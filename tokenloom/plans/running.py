@@ -12,18 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tokenloom.plans.lookups import join_null_safe
 from tokenloom.plans.staging import staged
 
 BUCKET_WIDTH = 1 << 16
 
 
-def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Inner join on columns of the same names where two NULLs are equal, so a group without a key keeps its rows."""
-    renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in on})
-    condition = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on]
-    return left.join(renamed, condition).drop(*[f"_right_{c}" for c in on])
-
-
 def blocks(position: Column | str, width: int = BUCKET_WIDTH) -> Column:
     """Bucket number of an integer position; at most ``width`` rows per bucket when positions are unique."""
     position = F.col(position) if isinstance(position, str) else position

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _local_dirs: dict[str, str] = {}
 
@@ -43,3 +43,14 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def staged_with(df: DataFrame, label: str, *aggregates: Column) -> tuple[DataFrame, dict]:
+    """Write ``df`` once and return the scan and what the named ``aggregates`` over its rows came to during the write.
+
+    The observed values are summed by the tasks that write, and the scheduler counts a task of the last stage once however
+    often it ran, so a lost executor does not change them.
+    """
+    seen = Observation(f"{label}-{uuid.uuid4().hex}")
+    written = staged(df.observe(seen, *aggregates), label)
+    return written, seen.get

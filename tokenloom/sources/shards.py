@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tokenloom.functions.text import out_of_range
 from tokenloom.plans.lookups import lookup
 from tokenloom.plans.running import blocks
+from tokenloom.sources.json_arrays import list_files, read_objects
 
 # Fixed layout of a story object; the key of the nested prompt really ends in a colon.
 STORY = T.StructType(
@@ -32,21 +33,27 @@ STORY = T.StructType(
 # Fixed value: number of records a preview shows.
 PREVIEW_ROWS = 30
 
-TOKEN_DOCS = "vocab STRING, shard_id INT, doc_pos BIGINT, ids ARRAY<INT>, n_tokens INT"
+#: Documents of a block of a token shard.
+DOCS_PER_BLOCK = 1 << 14
+TOKEN_DOCS = "vocab STRING, shard_id INT, doc_pos BIGINT, ids ARRAY<INT>, n_tokens INT, block BIGINT, block_start BIGINT"
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """Read JSON-array shards: one row per object with its file and position in the file.
 
-    A JSON array cannot be split, so one file is one task whichever reader is used; reading it as one text value gives
-    the position of each object without a shuffle. Malformed files fail the job.
+    Large files are split by byte ranges; no value holds a file. Malformed files fail the job.
     """
-    stories = F.from_json("value", T.ArrayType(STORY), {"mode": "FAILFAST"})
-    return (
-        spark.read.text(path, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("shard"), F.posexplode(stories).alias("doc_pos", "record"))
-        .select("shard", F.col("doc_pos").cast("long").alias("doc_pos"), "record.*")
-    )
+    record = F.from_json("text", STORY, {"mode": "FAILFAST"}).alias("record")
+    return read_objects(spark, path).select("shard", "doc_pos", record).select("shard", "doc_pos", "record.*")
+
+
+def list_shards(spark: SparkSession, path: str, name: Column | None = None) -> DataFrame:
+    """The manifest of the files below a path, from the listing alone: no content is read, a shard without stories has its id.
+
+    ``name`` may derive the shard's name from its file, ``shard``.
+    """
+    files = list_files(spark, path).select((F.col("shard") if name is None else name).alias("shard"))
+    return shard_manifest(files)
 
 
 def shard_manifest(df: DataFrame, name: str = "shard") -> DataFrame:
@@ -65,7 +72,7 @@ def shard_manifest(df: DataFrame, name: str = "shard") -> DataFrame:
 def with_shard_ids(df: DataFrame, name: str = "shard") -> DataFrame:
     """Replace the shard name by its id."""
     ids = shard_manifest(df, name).select(name, "shard_id")
-    return lookup(df, ids, [name]).drop(name)
+    return lookup(df, ids, [name], null_safe=True).drop(name)
 
 
 def preview(df: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:
@@ -81,36 +88,41 @@ def write_text_sample(df: DataFrame, num_shards: int, path: str) -> DataFrame:
     return written.agg(F.count(F.lit(1)).alias("lines"), (total / F.lit(1024 * 1024)).alias("size_mb"))
 
 
-def write_token_shards(df: DataFrame, vocab: str, path: str, docs_per_file: int = 1 << 20) -> None:
-    """Write one row per document, partitioned by vocabulary and shard.
+def write_token_shards(df: DataFrame, vocab: str, path: str, docs_per_block: int = DOCS_PER_BLOCK, key: str = "shard_id") -> None:
+    """Write one row per document, partitioned by vocabulary and shard, with its block and its position in the block's tokens.
 
     Rows are gathered per (shard, block of documents), so a large shard is written by many tasks and a small one by
-    one. Shards that are written again are replaced, others stay. Ids that do not fit 16 bits fail the job.
+    one. Shards that are written again are replaced, others stay. Ids that do not fit 16 bits fail the job. ``key`` may
+    name another column that tells shards apart, for example a file name.
     """
     checked = F.when(out_of_range(F.col("ids")), F.raise_error(F.lit("a token id does not fit 16 bits")))
     n_tokens = F.col("n_tokens") if "n_tokens" in df.columns else F.size("ids")
+    # the window asks for the partitioning and order that the write needs anyway
+    inside = Window.partitionBy(key, "block").orderBy("doc_pos").rowsBetween(Window.unboundedPreceding, -1)
     (
         df.select(
             F.lit(vocab).alias("vocab"),
-            F.col("shard_id").cast("int").alias("shard_id"),
+            F.col(key).cast("int" if key == "shard_id" else "string").alias(key),
             "doc_pos",
             checked.otherwise(F.col("ids")).alias("ids"),
             n_tokens.cast("int").alias("n_tokens"),
-            blocks("doc_pos", docs_per_file).alias("_block"),
+            blocks("doc_pos", docs_per_block).alias("block"),
         )
-        .repartition("shard_id", "_block")
-        .sortWithinPartitions("shard_id", "doc_pos")
-        .drop("_block")
+        .repartition(key, "block")
+        .withColumn("block_start", F.coalesce(F.sum(F.col("n_tokens").cast("long")).over(inside), F.lit(0)).cast("long"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", docs_per_file)
-        .partitionBy("vocab", "shard_id")
+        .option("maxRecordsPerFile", docs_per_block)
+        .partitionBy("vocab", key)
         .parquet(path)
     )
 
 
 def read_token_shards(spark: SparkSession, path: str, vocab_source: str, vocab_size: int = 0) -> DataFrame:
-    """Token documents of one vocabulary; the filter prunes to its directory."""
+    """Token documents of one vocabulary; the filter prunes to its directory.
+
+    ``block`` and ``block_start`` spare packing a pass over the documents; drop them before documents are filtered.
+    """
     return (
         spark.read.schema(TOKEN_DOCS)
         .parquet(path)

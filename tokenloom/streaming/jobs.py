@@ -9,10 +9,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tokenloom.functions.text import add_bos_eos, byte_length, byte_tokenize, strip_text
 from tokenloom.operators import packing
-from tokenloom.operators.runlog import START_LOSS, best_checkpoint, kl_controller
-from tokenloom.plans.lookups import lookup
-from tokenloom.sources.shards import STORY
-from tokenloom.streaming.carry import run_with_carry
+from tokenloom.operators.runlog import MAX_KL_STEP, START_LOSS
+from tokenloom.operators.vocab import Vocabulary, encode_corpus
+from tokenloom.sources.shards import STORY, write_token_shards
+from tokenloom.streaming.carry import STATE_PARTS, run_with_parts
+from tokenloom.streaming.keyed import RunningValue, best_update, kl_update, run_keyed
+
+
+# Fixed value: name of the vocabulary of bytes.
+BYTE_VOCAB_NAME = "tok259"
 
 
 def read_shard_stream(spark: SparkSession, path: str, files_per_batch: int = 64) -> DataFrame:
@@ -27,18 +32,24 @@ def read_shard_stream(spark: SparkSession, path: str, files_per_batch: int = 64)
     )
 
 
-def stream_pretokenize(stories: DataFrame, folder: str) -> StreamingQuery:
-    """Tokenize new shards once and append them to ``folder/output``; stateless, no shuffle."""
-    clean = stories.withColumn("text", strip_text(F.col("text")))
-    tokens = clean.select(
-        "shard",
-        "doc_pos",
-        add_bos_eos(byte_tokenize(F.col("text"))).alias("ids"),
-        (byte_length(F.col("text")) + 1).alias("n_tokens"),
-    )
+def stream_pretokenize(stories: DataFrame, folder: str, vocabulary: Vocabulary | None = None, name: str = BYTE_VOCAB_NAME) -> StreamingQuery:
+    """Tokenize new shards (shard, doc_pos, text) with a trained vocabulary, or with bytes, into ``folder/output``.
+
+    The sink is the table of token shards with one folder per shard, which the last arrival of a shard replaces: neither a
+    repeated micro-batch nor a second arrival of a shard adds rows. A shard that stands twice in one micro-batch counts once.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        clean = batch.dropDuplicates(["shard", "doc_pos"]).withColumn("text", strip_text(F.col("text")))
+        if vocabulary is None:
+            ids = add_bos_eos(byte_tokenize(F.col("text")))
+            tokens = clean.select("shard", "doc_pos", ids.alias("ids"), (byte_length(F.col("text")) + 1).alias("n_tokens"))
+        else:
+            tokens = encode_corpus(clean, vocabulary, keep=("shard", "doc_pos"))
+        write_token_shards(tokens, name, f"{folder}/output", key="shard")
+
     return (
-        tokens.writeStream.format("parquet")
-        .option("path", f"{folder}/output")
+        stories.writeStream.foreachBatch(each)
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
         .start()
@@ -48,95 +59,33 @@ def stream_pretokenize(stories: DataFrame, folder: str) -> StreamingQuery:
 PACK_STATE = "shard_id INT, next_chunk BIGINT, ids ARRAY<INT>"
 
 
-def _with_tails(batch: DataFrame, state: DataFrame) -> DataFrame:
-    """The tokens left over come first, as a document before all others."""
-    tails = state.select("shard_id", F.lit(-1).cast("long").alias("doc_pos"), "ids", F.size("ids").alias("n_tokens"))
-    return batch.select("shard_id", "doc_pos", "ids", "n_tokens").unionByName(tails)
-
-
-def _pack_step(length: int):
-    def step(batch: DataFrame, state: DataFrame) -> DataFrame:
-        packed = packing.pack_sequences(_with_tails(batch, state), length)
-        numbered = lookup(packed, state.select("shard_id", "next_chunk"), ["shard_id"], "left")
-        chunk_id = F.col("chunk_id") + F.coalesce("next_chunk", F.lit(0))
-        return numbered.select("shard_id", chunk_id.alias("chunk_id"), "chunk")
-
-    def carry(batch: DataFrame, state: DataFrame, written: DataFrame) -> DataFrame:
-        docs = _with_tails(batch, state)
-        counts = packing.chunk_counts(docs, length).select("shard_id", "chunks")
-        located = lookup(packing.token_offsets(docs), counts, ["shard_id"])
-        used = F.col("chunks") * F.lit(length)
-        end = F.col("start") + F.col("n_tokens")
-        skip = F.greatest(used - F.col("start"), F.lit(0)).cast("int")
-        part = F.slice("ids", skip + 1, F.greatest(F.col("n_tokens") - skip, F.lit(0)))
-        # Fewer than 2L tokens of a shard are left, whatever its size.
-        left = (
-            located.where((end > used) & (F.col("n_tokens") > 0))
-            .groupBy("shard_id")
-            .agg(F.array_sort(F.collect_list(F.struct("start", part.alias("part")))).alias("parts"))
-            .select("shard_id", F.flatten("parts.part").alias("ids"))
-        )
-        return (
-            counts.join(left, "shard_id", "left")
-            .join(state.select("shard_id", "next_chunk"), "shard_id", "left")
-            .select(
-                "shard_id",
-                (F.coalesce("next_chunk", F.lit(0)) + F.col("chunks")).alias("next_chunk"),
-                F.coalesce("ids", F.array().cast("array<int>")).alias("ids"),
-            )
-        )
-
-    return step, carry
-
-
-def stream_pack(tokens: DataFrame, length: int, folder: str) -> StreamingQuery:
+def stream_pack(tokens: DataFrame, length: int, folder: str, parts: int = STATE_PARTS) -> StreamingQuery:
     """Pack token documents as they arrive; a chunk appears once the tokens of the next one are there too.
 
-    Documents of a shard must arrive in order; inside a micro-batch they are ordered by position.
+    Documents of a shard must arrive in order; inside a micro-batch they are ordered by position. The tokens left over of a shard,
+    fewer than 2L, and its next chunk are kept in parts by a hash of the shard: a micro-batch reads and writes the parts of its shards.
     """
-    return run_with_carry(tokens, *_pack_step(length), PACK_STATE, folder)
 
+    def step(batch: DataFrame, state: DataFrame) -> DataFrame:
+        return packing.pack_with_tails(batch, length, state)
 
-KL_STATE = "run_id BIGINT, kl_coef DOUBLE"
+    def state(done: DataFrame) -> DataFrame:
+        return done.where("tail").select("shard_id", F.col("chunk_id").alias("next_chunk"), F.col("chunk").alias("ids"))
 
+    def output(done: DataFrame) -> DataFrame:
+        return done.where("NOT tail").drop("tail")
 
-def _kept(state: DataFrame, fresh: DataFrame) -> DataFrame:
-    """State of the runs this micro-batch did not touch, plus the new state of the others."""
-    return state.join(fresh.select("run_id"), "run_id", "left_anti").unionByName(fresh)
+    return run_with_parts(tokens, "shard_id", step, output, state, PACK_STATE, folder, parts)
 
 
 def stream_kl_controller(log: DataFrame, start: float, target: float, horizon: int, folder: str) -> StreamingQuery:
-    """Penalty coefficient after each step, one carried number per run."""
-
-    def step(batch: DataFrame, state: DataFrame) -> DataFrame:
-        scaled = kl_controller(batch, 1.0, target, horizon).withColumnRenamed("kl_coef", "_factor")
-        known = lookup(scaled, state, ["run_id"], "left")
-        return known.withColumn("kl_coef", F.col("_factor") * F.coalesce("kl_coef", F.lit(start))).drop("_factor")
-
-    def carry(batch: DataFrame, state: DataFrame, written: DataFrame) -> DataFrame:
-        return _kept(state, written.groupBy("run_id").agg(F.max_by("kl_coef", "step").alias("kl_coef")))
-
-    return run_with_carry(log, step, carry, KL_STATE, folder)
-
-
-BEST_STATE = "run_id BIGINT, best DOUBLE"
+    """Penalty coefficient after each step, one number per run in the state store. Steps of a run arrive in order."""
+    schema = T.StructType([*log.schema.fields, T.StructField("kl_coef", T.DoubleType())])
+    return run_keyed(log, "run_id", RunningValue("step", start, kl_update(target, horizon, MAX_KL_STEP)), schema, folder)
 
 
 def stream_best_checkpoint(log: DataFrame, folder: str) -> StreamingQuery:
-    """Checkpoint decisions at evaluation steps, one carried best loss per run."""
-
-    def step(batch: DataFrame, state: DataFrame) -> DataFrame:
-        known = lookup(best_checkpoint(batch), state, ["run_id"], "left")
-        before = F.least("best_before", F.coalesce("best", F.lit(START_LOSS)))
-        return (
-            known.withColumn("best_before", before)
-            .withColumn("improved", F.col("val_loss") < F.col("best_before"))
-            .withColumn("saved", (F.col("step") > 0) & F.col("improved"))
-            .drop("best")
-        )
-
-    def carry(batch: DataFrame, state: DataFrame, written: DataFrame) -> DataFrame:
-        best = written.groupBy("run_id").agg(F.min(F.least("val_loss", "best_before")).alias("best"))
-        return _kept(state, best)
-
-    return run_with_carry(log, step, carry, BEST_STATE, folder)
+    """Checkpoint decisions at evaluation steps, the best loss of each run in the state store. Steps of a run arrive in order."""
+    more = [T.StructField("best_before", T.DoubleType()), T.StructField("improved", T.BooleanType()), T.StructField("saved", T.BooleanType())]
+    schema = T.StructType([*log.schema.fields, *more])
+    return run_keyed(log, "run_id", RunningValue("step", START_LOSS, best_update), schema, folder)
