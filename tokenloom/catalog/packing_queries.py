@@ -74,8 +74,7 @@ def require_chunks(spark, sf):
     return K.short_shards(sizes, SHORT_LENGTH)
 
 
-SQL_SHUFFLED = f"""{t.SQL_STREAMS},
-keys AS (
+SQL_SHUFFLE = f"""keys AS (
   SELECT shard_id, unnest(range(greatest(len(toks) // {L} - 1, 0))) AS chunk_id FROM streams),
 shuffled AS (
   SELECT epoch, shard_id, chunk_id, md5('42|' || epoch || '|' || shard_id) AS shard_key,
@@ -84,6 +83,7 @@ shuffled AS (
 batched AS (
   SELECT *, row_number() OVER (ORDER BY epoch, shard_key, shard_id, chunk_key, chunk_id) - 1 AS stream_pos
   FROM shuffled)"""
+SQL_SHUFFLED = f"{t.SQL_STREAMS}, {SQL_SHUFFLE}"
 
 
 @query("shuffle_examples", f"WITH {SQL_SHUFFLED} SELECT epoch, shard_id, chunk_id, shard_key, chunk_key FROM shuffled")
@@ -102,10 +102,9 @@ def assign_batches(spark, sf):
 
 @query(
     "batches",
-    f"""WITH {SQL_SHUFFLED} SELECT epoch, stream_pos // {BATCH} AS batch_id, stream_pos,
-      array_to_string(toks[chunk_id * {L} + 1 : chunk_id * {L} + {L}], ',') AS x,
-      array_to_string(toks[chunk_id * {L} + 2 : chunk_id * {L} + {L} + 1], ',') AS y
-    FROM batched JOIN streams USING (shard_id)""",
+    f"""WITH {t.SQL_CHUNKS}, {SQL_SHUFFLE} SELECT epoch, stream_pos // {BATCH} AS batch_id, stream_pos,
+      array_to_string(chunk[1:{L}], ',') AS x, array_to_string(chunk[2:{L + 1}], ',') AS y
+    FROM batched JOIN chunks USING (shard_id, chunk_id)""",
 )
 def batches(spark, sf):
     """Token shards as they were written, served as shuffled batches of inputs and labels."""

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions import rollout as R
+from tokenloom.functions.arrays import bind, total
 from tokenloom.operators.masked import EMPTY_MASK, flatten_stats, mean_of, var_of, whitened
 from tokenloom.operators.packing import minibatch_permutation
 from tokenloom.operators.recurrence import discounted_suffix_sums
@@ -87,12 +88,14 @@ def explode_cells(df: DataFrame, key: Sequence[str], values: Sequence[str]) -> D
     )
 
 
-def _array_moments(values: Column, mask: Column) -> tuple[Column, Column, Column]:
-    """Number, mean and sum of squared deviations of the masked-in cells of a row."""
+def _array_moments(values: Column, mask: Column) -> Column:
+    """Number ``n``, ``mean`` and sum of squared deviations ``squares`` of the masked-in cells of a row."""
     inside = F.transform(F.filter(F.arrays_zip(values.alias("v"), mask.alias("m")), lambda c: c["m"] == 1), lambda c: c["v"])
-    n = F.size(inside)
-    mean = F.try_divide(F.aggregate(inside, F.lit(0.0), lambda acc, v: acc + v), n)
-    return n, mean, F.aggregate(inside, F.lit(0.0), lambda acc, v: acc + (v - mean) * (v - mean))
+
+    def around(cells: Column, mean: Column) -> Column:
+        return F.struct(F.size(cells).alias("n"), mean.alias("mean"), F.aggregate(cells, F.lit(0.0), lambda acc, v: acc + (v - mean) * (v - mean)).alias("squares"))
+
+    return bind(inside, lambda cells: bind(F.try_divide(total(cells), F.size(cells)), lambda mean: around(cells, mean)))
 
 
 def whiten_arrays(df: DataFrame, values: str, mask: str = "mask", shift_mean: bool = True) -> DataFrame:
@@ -100,16 +103,15 @@ def whiten_arrays(df: DataFrame, values: str, mask: str = "mask", shift_mean: bo
 
     The rows are written once and their moments observed on the way, so nothing is computed or read a second time.
     """
-    n, mean, squares = _array_moments(F.col(values), F.col(mask))
-    narrow = df.withColumns({"_n": n, "_mean": mean, "_squares": squares})
-    total = F.sum("_n")
-    middle = F.try_divide(F.sum(F.col("_n") * F.col("_mean")), total)
-    between = F.sum(F.col("_n") * F.col("_mean") * F.col("_mean")) - total * middle * middle
+    n, mean, squares = (F.col(f"_moments.{c}") for c in ("n", "mean", "squares"))
+    middle = F.try_divide(F.sum(n * mean), F.sum(n))
+    between = F.sum(n * mean * mean) - F.sum(n) * middle * middle
     held, stats = staged_with(
-        narrow, "whitening", F.coalesce(total, F.lit(0)).alias("n"), middle.alias("mean"),
-        F.when(total > 1, F.greatest(F.sum("_squares") + between, F.lit(0.0)) / (total - 1)).alias("var"),
+        df.withColumn("_moments", _array_moments(F.col(values), F.col(mask))), "whitening",
+        F.coalesce(F.sum(n), F.lit(0)).alias("n"), middle.alias("mean"),
+        F.when(F.sum(n) > 1, F.greatest(F.sum(squares) + between, F.lit(0.0)) / (F.sum(n) - 1)).alias("var"),
     )
-    return held.drop("_n", "_mean", "_squares").withColumn(values, F.transform(values, lambda v: whitened(v, stats, shift_mean)))
+    return held.drop("_moments").withColumn(values, F.transform(values, lambda v: whitened(v, stats, shift_mean)))
 
 
 def compute_rewards(
