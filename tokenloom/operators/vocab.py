@@ -7,10 +7,12 @@ they are. The driver only ever sees the best pairs of a round and the finished v
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from heapq import heapify, heappop, heappush, nsmallest
+from zlib import crc32
 
 import pandas as pd
 import pyarrow as pa
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 from tokenloom.functions.text import BOS_ID, BYTE_OFFSET, EOS_ID, UNK_ID, add_bos_eos
 from tokenloom.plans.lookups import lookup
 from tokenloom.plans.session import spread_small
-from tokenloom.plans.staging import staged
+from tokenloom.plans.staging import new_folder, staged
 
 # The visible space, the number of byte pieces, the displayed forms of the two border tokens.
 SPACE = "▁"
@@ -42,7 +44,10 @@ ALONE = r"([0-9０-９\n])"
 CANDIDATES_PER_ROUND = 256
 #: Pairs whose counts the driver is told at a snapshot, and merges between two snapshots.
 PAIRS_LISTED = 8192
-MERGES_PER_STAGE = 96
+#: Folders of the index by a hash of the pair, and files that the words of a pair are dealt to, so that a frequent pair is the
+#: work of several tasks.
+SLOTS, FILES_PER_PAIR = 8, 8
+MERGES_PER_STAGE = 256
 
 
 def _split_words(marked: Column) -> Column:
@@ -213,14 +218,29 @@ def _vocabulary(spark: SparkSession, merges: list[tuple[str, str]], chars: list[
     return Vocabulary(spark.createDataFrame(rows, VOCAB_SCHEMA), spark.createDataFrame(ranked, MERGE_SCHEMA))
 
 
+def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows: list[tuple[str, str, int, str, int]] = []
+        for symbols, cnt in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            parts = symbols[1:-1].split(CLOSE + OPEN)
+            times: dict[tuple[str, str], int] = {}
+            for pair in zip(parts, parts[1:]):
+                times[pair] = times.get(pair, 0) + 1
+            rows += [(a, b, n, symbols, cnt) for (a, b), n in times.items()]
+        kinds = pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()
+        columns = list(zip(*rows)) or [[]] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["left", "right", "times", "symbols", "cnt"])
+
+
 def pair_index(words: DataFrame) -> DataFrame:
-    """Inverted index: (left, right, symbols, cnt), a row for each word and different pair in it."""
-    return (
-        words.where(F.contains("symbols", F.lit(CLOSE + OPEN)))
-        .withColumn("_list", symbol_list(F.col("symbols")))
-        .select("symbols", "cnt", F.explode(F.array_distinct(_adjacent())).alias("pair"))
-        .select("pair.left", "pair.right", "symbols", "cnt")
-    )
+    """Inverted index: (left, right, times, symbols, cnt), a row for each word and different pair in it."""
+    held = words.where(F.contains("symbols", F.lit(CLOSE + OPEN))).select("symbols", "cnt")
+    return held.mapInArrow(_index_rows, "left string, right string, times long, symbols string, cnt long")
+
+
+def _slot(left: str, right: str) -> int:
+    """Folder of a pair; the same as ``crc32`` gives in Spark."""
+    return crc32(f"{left}{CLOSE}{right}".encode()) % SLOTS
 
 
 def _patterns(merges: list[tuple[str, str]]) -> list[tuple[str, str]]:
@@ -254,7 +274,8 @@ def _differences(pending: list[tuple[str, str]], merges: list[tuple[str, str]],
     earlier = {key: found[:i] for i, key in enumerate(keys)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        change: dict[tuple[str, str], int] = {}
+        gone: dict[int, Counter] = {}  # of the words of each frequency; counting by one is the fast way
+        come: dict[int, Counter] = {}
         looked = 0
         for batch in batches:
             for left, right, symbols, cnt in zip(*(c.to_pylist() for c in batch.columns)):
@@ -268,10 +289,16 @@ def _differences(pending: list[tuple[str, str]], merges: list[tuple[str, str]],
                     merged = merged.replace(old, new)
                 if merged == symbols:
                     continue
-                for text, sign in ((symbols, -cnt), (merged, cnt)):
+                for text, seen in ((symbols, gone), (merged, come)):
                     parts = text[1:-1].split(CLOSE + OPEN)
-                    for pair in zip(parts, parts[1:]):
-                        change[pair] = change.get(pair, 0) + sign
+                    if cnt not in seen:
+                        seen[cnt] = Counter()
+                    seen[cnt].update(zip(parts, parts[1:]))
+        change: dict[tuple[str, str], int] = {}
+        for seen, sign in ((gone, -1), (come, 1)):
+            for cnt, pairs in seen.items():
+                for pair, n in pairs.items():
+                    change[pair] = change.get(pair, 0) + sign * cnt * n
         rows = [(None, None, looked), *((a, b, n) for (a, b), n in change.items() if n)]
         kinds = pa.string(), pa.string(), pa.int64()
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["left", "right", "cnt"])
@@ -288,10 +315,17 @@ class _Snapshot:
 
     def __init__(self, words: DataFrame, listed: int) -> None:
         self.words, self.pending = words, []
-        parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        # sorted by pair, so a round reads the pages of its pairs; a frequent pair spans files
-        self.index = staged(pair_index(words).repartitionByRange(parts, "left", "right", "symbols").sortWithinPartitions("left", "right"), "pairs")
-        rows = best_pairs(words, listed).collect()
+        spark = words.sparkSession
+        # A round reads the folders of its pairs. A pair's words are dealt to several files.
+        place, columns = new_folder(spark, "pairs"), "left string, right string, times long, symbols string, cnt long, slot int"
+        slot = (F.crc32(F.concat_ws(CLOSE, "left", "right")) % SLOTS).cast("int")
+        salt = F.pmod(F.xxhash64("symbols"), F.lit(FILES_PER_PAIR))
+        tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        dealt = pair_index(words).withColumn("slot", slot).repartitionById(tasks, ((slot * FILES_PER_PAIR + salt) % tasks).cast("int"))
+        dealt.sortWithinPartitions("slot", "left", "right").write.partitionBy("slot").parquet(place)
+        self.index = spark.read.schema(columns).parquet(place)
+        counts = self.index.groupBy("left", "right").agg(F.sum(F.col("times") * F.col("cnt")).alias("cnt"))
+        rows = _in_order(counts).limit(listed).collect()
         self.counts = {(r["left"], r["right"]): r["cnt"] for r in rows}
         self.ceiling = self.listed_floor = 0 if len(rows) < listed else rows[-1]["cnt"]
         self.made: set[str] = set()
@@ -317,7 +351,9 @@ class _Snapshot:
             self.first[both] = self.first.get(both, old) | self.first.get(left, {left})
             self.last[both] = self.last.get(both, old) | self.last.get(right, {right})
         condition = reduce(lambda a, b: a | b, [(F.col("left") == F.lit(a)) & (F.col("right") == F.lit(b)) for a, b in keys])
-        changes = self.index.where(condition).mapInArrow(_differences(self.pending, merges, list(keys)), "left string, right string, cnt long")
+        slots = sorted({_slot(a, b) for a, b in keys})
+        chosen = self.index.where(F.col("slot").isin(slots)).where(condition).select("left", "right", "symbols", "cnt")
+        changes = chosen.mapInArrow(_differences(self.pending, merges, list(keys)), "left string, right string, cnt long")
         looked = 0
         for left, right, change in changes.groupBy("left", "right").agg(F.sum("cnt").alias("cnt")).collect():
             if left is None:
