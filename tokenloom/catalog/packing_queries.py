@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from tokenloom.catalog import tables as t
+from tokenloom.catalog import vocab_queries as VQ
 from tokenloom.catalog.registry import query, text
 from tokenloom.operators import corpus as C
 from tokenloom.operators import packing as K
+from tokenloom.operators import vocab as V
 from tokenloom.plans.staging import new_folder
 from tokenloom.sources import shards as S
 
@@ -115,6 +117,24 @@ def batches(spark, sf):
     return served.select("epoch", "batch_id", "stream_pos", text("x").alias("x"), text("y").alias("y"))
 
 
+@query(
+    "trained_batches",
+    f"""WITH {VQ.SQL_ENCODED},
+    streams AS (SELECT shard_id, flatten(list(ids ORDER BY doc_pos)) AS toks FROM encoded GROUP BY shard_id),
+    {t.SQL_CUT}, {SQL_SHUFFLE} SELECT epoch, stream_pos // {BATCH} AS batch_id, stream_pos,
+      array_to_string(chunk[1:{L}], ',') AS x, array_to_string(chunk[2:{L + 1}], ',') AS y
+    FROM batched JOIN chunks USING (shard_id, chunk_id)""",
+)
+def trained_batches(spark, sf):
+    """The corpus as token shards of the trained vocabulary, read back by its name and served as shuffled batches."""
+    path = new_folder(spark, "token_shards")
+    encoded = C.pretokenize(t.corpus(spark, sf), lambda d: V.encode_corpus(d, VQ.trained(spark, sf)))
+    S.write_token_shards(encoded, S.vocab_name("custom", VQ.VOCAB_SIZE), path)
+    examples = K.training_examples(S.read_token_shards(spark, path, "custom", VQ.VOCAB_SIZE), L)
+    served = K.assign_batches(K.shuffle_examples(examples, EPOCHS, keep=["x", "y"]), BATCH)
+    return served.select("epoch", "batch_id", "stream_pos", text("x").alias("x"), text("y").alias("y"))
+
+
 @query(
     "worker_streams",
     f"""WITH {t.SQL_STREAMS},

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tokenloom.catalog import tables as t
 from tokenloom.catalog.registry import query, r6, text
 from tokenloom.functions import rollout as R
+from tokenloom.functions import scores as P
 from tokenloom.operators import masked as M
 from tokenloom.operators import rollouts as O
 from tokenloom.operators import scoring as Q
@@ -228,6 +229,32 @@ _rewards("compute_rewards_abs", "abs", "abs(logprob - ref_logprob)")
 _rewards("compute_rewards_mse", "mse", "(0.5::DOUBLE * (logprob - ref_logprob) * (logprob - ref_logprob))")
 
 
+@query(
+    "compute_rewards_full",
+    """WITH v AS (
+      SELECT vec_id // 8 AS rollout_id, vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE) * 10) AS a,
+        list_transform(embedding, lambda x: CAST(x AS DOUBLE) * 5) AS b FROM embeddings),
+    n AS (SELECT *, ln(list_sum(list_transform(a, lambda x: exp(x)))) AS la, ln(list_sum(list_transform(b, lambda x: exp(x)))) AS lb FROM v),
+    k AS (SELECT rollout_id, vec_id, label, list_sum(list_transform(list_zip(a, b),
+      lambda p: exp(p[1] - la) * ((p[1] - la) - (p[2] - lb)))) AS kl FROM n),
+    cells AS (SELECT rollout_id, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY rollout_id) AS size, kl,
+      sum(label) OVER (PARTITION BY rollout_id) / 10.0::DOUBLE AS score FROM k WINDOW w AS (PARTITION BY rollout_id ORDER BY vec_id))
+    SELECT rollout_id, CAST(pos AS INTEGER) AS pos, round(-0.2::DOUBLE * kl, 6) AS non_score_reward,
+      round(-0.2::DOUBLE * kl + CASE WHEN pos = size - 1 THEN score ELSE 0 END, 6) AS reward FROM cells""",
+)
+def compute_rewards_full(spark, sf):
+    """The divergence over the whole vocabulary: eight vectors make a rollout, two temperatures are policy and reference."""
+    logits = F.col("embedding").cast("array<double>")
+    scored = [P.log_softmax(F.transform(logits, lambda x: x * factor)).alias(name) for name, factor in (("policy", 10.0), ("reference", 5.0))]
+    cells = t.table(spark, sf, "embeddings").select(F.floor(F.col("vec_id") / 8).alias("rollout_id"), F.col("vec_id").alias("pos"), "label", *scored)
+    rows = O.gather_cells(cells, KEY, ["label", "policy", "reference"])
+    score = F.aggregate("label", F.lit(0.0), lambda acc, x: acc + x) / 10
+    ready = rows.select("rollout_id", "policy", "reference", score.alias("score"), F.transform("label", lambda x: F.lit(1)).alias("mask"))
+    done = O.compute_rewards(ready, O.RolloutConfig(kl_mode="full"), "policy", "reference")
+    out = O.explode_cells(done, KEY, ["non_score_rewards", "rewards"])
+    return out.select("rollout_id", "pos", r6("non_score_rewards").alias("non_score_reward"), r6("rewards").alias("reward"))
+
+
 @query(
     "mean_total_reward",
     f"""WITH {t.SQL_REWARDS}, sums AS (SELECT rollout_id, sum(reward * mask) AS s FROM rewarded GROUP BY rollout_id)

@@ -66,12 +66,15 @@ token_docs AS (SELECT shard_id, doc_pos, list_concat([1], {sql_bytes('text')}) A
 SQL_STREAMS = f"""{SQL_TOKENS},
 streams AS (SELECT shard_id, flatten(list(ids ORDER BY doc_pos)) AS toks FROM token_docs GROUP BY shard_id)"""
 
-SQL_CHUNKS = f"""{SQL_STREAMS},
-cut AS (
-  SELECT shard_id, range(greatest(len(toks) // {LENGTH} - 1, 0)) AS numbers, list_transform(
-    range(greatest(len(toks) // {LENGTH} - 1, 0)), lambda c: toks[c * {LENGTH} + 1 : c * {LENGTH} + {LENGTH} + 1]) AS parts
-  FROM streams),
-chunks AS MATERIALIZED (SELECT shard_id, unnest(numbers) AS chunk_id, unnest(parts) AS chunk FROM cut)"""
+# A token at a multiple of the length is also the last label of the chunk before it.
+SQL_CUT = f"""numbered AS (
+  SELECT shard_id, unnest(toks) AS tok, unnest(range(len(toks))) AS i, greatest(len(toks) // {LENGTH} - 1, 0) AS n FROM streams),
+chunks AS MATERIALIZED (SELECT shard_id, chunk_id, list(tok ORDER BY i) AS chunk FROM (
+  SELECT shard_id, i // {LENGTH} AS chunk_id, tok, i FROM numbered WHERE i // {LENGTH} < n
+  UNION ALL SELECT shard_id, i // {LENGTH} - 1, tok, i FROM numbered WHERE i % {LENGTH} = 0 AND i > 0 AND i // {LENGTH} - 1 < n)
+  GROUP BY shard_id, chunk_id)"""
+
+SQL_CHUNKS = f"{SQL_STREAMS}, {SQL_CUT}"
 
 # The pairs of all chunks of a shard are those of its stream up to the last chunk's end.
 SQL_COUNTS = f"""{SQL_STREAMS},
