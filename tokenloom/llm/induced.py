@@ -21,7 +21,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
-MEMORY = 256 << 20
+#: Bytes of a sort's queues and names, of what a task has beside a heap on its executor.
+MEMORY = 96 << 20
 PIECE = 1 << 16
 _BIG = np.int32(1 << 30)
 
@@ -36,14 +37,14 @@ class Budget:
 class Queue:
     """Suffixes of one first symbol with their common prefixes, first in, first out; spills to a file of the task."""
 
-    def __init__(self, budget: Budget) -> None:
-        self.budget = budget
+    def __init__(self, budget: Budget, kind: type = np.int64) -> None:
+        self.budget, self.kind = budget, np.dtype(kind)
         self.parts: list[np.ndarray] = []
         self.file = None
         self.sizes: list[int] = []
 
     def put(self, place: np.ndarray, shared: np.ndarray) -> None:
-        part = np.stack([place.astype(np.int64), shared.astype(np.int64)])
+        part = np.stack([place.astype(self.kind), shared.astype(self.kind)])
         self.parts.append(part)
         self.budget.used += part.nbytes
         if self.budget.used > self.budget.limit:
@@ -69,7 +70,7 @@ class Queue:
             if file is not None:
                 file.seek(0)
                 for n in sizes:
-                    yield np.frombuffer(file.read(16 * n), np.int64).reshape(2, n)
+                    yield np.frombuffer(file.read(2 * self.kind.itemsize * n), self.kind).reshape(2, n)
                 file.close()
             yield from parts
 
@@ -113,15 +114,21 @@ class _Minima:
 
 def _runs(text: np.ndarray) -> np.ndarray:
     """How often each symbol repeats from its place on."""
-    n = len(text)
-    ends = np.flatnonzero(np.r_[text[1:] != text[:-1], True])
-    return ends[np.searchsorted(ends, np.arange(n))] - np.arange(n) + 1
+    n, kind = len(text), place_kind(text)
+    ends = np.flatnonzero(np.r_[text[1:] != text[:-1], True]).astype(kind)
+    size = np.diff(ends, prepend=kind(-1))
+    return np.repeat(ends, size) - np.arange(n, dtype=kind) + kind(1)
+
+
+def place_kind(text: np.ndarray) -> type:
+    """Whole numbers that places of the text need."""
+    return np.int32 if len(text) < (1 << 31) - 2 else np.int64
 
 
 def _types(text: np.ndarray, runs: np.ndarray) -> np.ndarray:
     """True for S. Ends are S; they never run on, since no segment is empty."""
-    after = np.arange(len(text)) + runs
-    follow = np.where(after < len(text), text[np.minimum(after, len(text) - 1)], -1)
+    after = np.arange(len(text), dtype=runs.dtype) + runs
+    follow = np.where(after < len(text), text[np.minimum(after, len(text) - 1)], text.dtype.type(-1))
     return (follow > text) | (text == 0)
 
 
@@ -164,7 +171,7 @@ def _scan(text, runs, seeds, seed_shared, symbols, rising: bool, want: bool, bud
                 got = np.zeros(len(at), np.int32)
             bounds = np.r_[heads, len(at)]
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                queues.setdefault(int(d[a]), Queue(budget)).put(p[at[a:b]] - 1, got[a:b])
+                queues.setdefault(int(d[a]), Queue(budget, place_kind(text))).put(p[at[a:b]] - 1, got[a:b])
 
     for symbol in symbols.tolist() if rising else symbols[::-1].tolist():
         last = None
@@ -282,7 +289,8 @@ def suffix_array(text: np.ndarray, memory: int = MEMORY, want: bool = True) -> t
     text = text.astype(np.int64) if text.dtype.kind != "i" else text
     runs = _runs(text)
     kind = _types(text, runs)
-    marks = np.flatnonzero(kind & np.r_[False, ~kind[:-1]])
+    marks = np.flatnonzero(kind & np.r_[False, ~kind[:-1]]).astype(place_kind(text))
+    del kind
     names = _names(text, marks)
     if len(np.unique(names[names > 0])) == int((names > 0).sum()):
         order = np.argsort(names, kind="stable")

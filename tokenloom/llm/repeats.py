@@ -292,26 +292,71 @@ def _segments(shards: int, length: int, gram: int):
     return run
 
 
+def _repeating(segments: list[bytes], length: int) -> np.ndarray:
+    """Which segments hold a window whose hash stands twice. Equal windows have equal hashes, so no other segment can share one."""
+    owner, hashes = [], []
+    first = 0
+    while first < len(segments):  # about a megabyte at a time, for the powers of the hash
+        last, size = first, 0
+        while last < len(segments) and (last == first or size + len(segments[last]) <= S.SLICE_BYTES):
+            size += len(segments[last])
+            last += 1
+        own = segments[first:last]
+        sizes = np.array([len(x) for x in own], np.int64)
+        data = np.frombuffer(b"".join(own), np.uint8)
+        counts = sizes - length + 1
+        begin = np.repeat(np.cumsum(sizes) - sizes - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        hashes.append(S.span_hashes(data, begin, begin + length))
+        owner.append(np.repeat(np.arange(first, last, dtype=np.int32), counts))
+        first = last
+    out = np.zeros(len(segments), bool)
+    if not hashes:
+        return out
+    hashes, owner = np.concatenate(hashes), np.concatenate(owner)
+    order = np.sort(hashes)
+    twice = order[1:][order[1:] == order[:-1]]
+    del order
+    if len(twice):
+        twice = np.unique(twice)
+        place = np.minimum(np.searchsorted(twice, hashes), len(twice) - 1)
+        out[owner[twice[place] == hashes]] = True
+    return out
+
+
 def first_documents(segments: list[bytes], owner: np.ndarray, length: int, memory: int = induced.MEMORY) -> list[np.ndarray]:
-    """For each segment and window in it, the smallest owner of any segment with an equal window."""
-    size = np.array([len(s) for s in segments], np.int64)
+    """For each segment and window in it, the smallest owner of any segment with an equal window.
+
+    Only segments in which a window may repeat are sorted; in the others each window is its owner's.
+    """
+    chosen = np.flatnonzero(_repeating(segments, length))
+    out = [np.broadcast_to(o, max(0, len(s) - length + 1)) for s, o in zip(segments, owner)]
+    if not len(chosen):
+        return out
+    owner = owner[chosen]
+    size = np.array([len(segments[i]) for i in chosen], np.int64)
     starts = np.cumsum(size + 1) - size - 1
-    text = np.frombuffer(b"\0".join(segments) + b"\0", np.uint8).astype(np.int16) + 1
+    text = np.frombuffer(b"\0".join(segments[i] for i in chosen) + b"\0", np.uint8).astype(np.int16) + 1
     text[starts + size] = 0
     place, shared = induced.suffix_array(text, memory)
-    segment = np.searchsorted(starts, place, side="right") - 1
+    del text
+    small = np.int32 if int(size.sum()) + len(size) < 1 << 31 else np.int64
+    cut = np.cumsum(shared < length, dtype=small)
+    del shared
+    segment = (np.searchsorted(starts, place, side="right") - 1).astype(small)
     # the place of a window among all windows; suffixes too short to be one are left out
-    offset = place - starts[segment]
+    offset = (place - starts[segment]).astype(small)
     whole = offset + length <= size[segment]
-    cut = np.cumsum(shared < length)
-    place, segment, offset, cut = place[whole], segment[whole], offset[whole], cut[whole]
+    segment, offset, cut = segment[whole], offset[whole], cut[whole]
+    del place, whole
     head = np.flatnonzero(np.r_[True, cut[1:] != cut[:-1]])
     least = np.repeat(np.minimum.reduceat(owner[segment], head), np.diff(np.r_[head, len(cut)]))
     windows = size - length + 1
     base = np.cumsum(windows) - windows
-    out = np.empty(int(windows.sum()), np.int64)
-    out[base[segment] + offset] = least
-    return np.split(out, base[1:])
+    found = np.empty(int(windows.sum()), np.int64)
+    found[base[segment] + offset] = least
+    for i, part in zip(chosen.tolist(), np.split(found, base[1:])):
+        out[i] = part
+    return out
 
 
 def _shard(length: int, memory: int):
