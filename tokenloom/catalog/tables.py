@@ -295,7 +295,8 @@ def score_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.select(F.col("vec_id").alias("row_id"), logits.alias("logits"), "label")
 
 
-# Labels decide the tensor: column-split matrices, row-split matrices, one-dimensional tensors, single parts.
+# Labels decide the tensor: column-split matrices, row-split matrices, one-dimensional tensors, single parts. The names are fixed
+# values: the merge rule looks for them.
 SQL_WEIGHTS = """weights AS (
   SELECT CASE WHEN label = 9 THEN 'layers.' || vec_id || '.ffn_norm.weight'
               WHEN label % 4 = 0 THEN 'tok_embeddings.weight'
