@@ -48,7 +48,7 @@ def got_lines(df):
 LONG = "This line is long enough to count as a line of forty characters"
 
 
-@pytest.mark.parametrize("batches,fanout", [(1, 3), (7, 2), (5, 5)])
+@pytest.mark.parametrize("batches,fanout", [(1, 3), (5, 2)])
 def test_lines_random(make, batches, fanout):
     rng = random.Random(batches)
     pool = [f"{LONG} {i}" for i in range(30)] + [f"\t{LONG.upper()} {i} \r" for i in range(30)] + ["short", "", "  ", "ü" * 39, "ü" * 40, "Ü" * 40, "é" * 80]
