@@ -152,6 +152,12 @@ class PieceModel:
                     size -= 1
         return out
 
+    def forget(self) -> None:
+        """Empty what was remembered of texts."""
+        self.cache.old = {}
+        self.cache.clear()
+        self._fits.clear()
+
     def chunk_ids(self, chunk: str) -> list[int]:
         pieces = self.split(chunk)
         try:
@@ -255,26 +261,28 @@ def load(path: str) -> PieceModel:
 def _encoder(path: str, digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
+        try:
+            for batch in batches:
+                for first in range(0, batch.num_rows, 256):
+                    yield rows(model, batch.slice(first, 256))
+        finally:  # the worker lives on beside other tasks, which need the memory
+            model.forget()
+
+    def rows(model: PieceModel, part: pa.RecordBatch) -> pa.RecordBatch:
         cache = model.cache
         bos, eos = struct.pack("<I", model.bos), struct.pack("<I", model.eos)
-        for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                part = batch.slice(first, 256)
-                count, left, right = [], [], []
-                for text in part.column(1).to_pylist():
-                    found = [cache[c] for c in model.chunks(text or "")]
-                    ids = b"".join([bos, *[f[0] for f in found], eos])
-                    # the dummy space is the first byte of the first chunk
-                    decoded = b"".join([f[1] for f in found])[1:]
-                    count.append(len(ids) // 4)
-                    left.append(hashlib.sha256(ids).hexdigest() if digests else list(struct.unpack(f"<{len(ids) // 4}I", ids)))
-                    right.append(hashlib.sha256(decoded).hexdigest() if digests else decoded.decode())
-                kind = pa.string() if digests else pa.list_(pa.int32())
-                names = ["n_tokens", *(["ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"])]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(count, pa.int64()), pa.array(left, kind), pa.array(right, pa.string())],
-                    [batch.schema.names[0], *names],
-                )
+        count, left, right = [], [], []
+        for text in part.column(1).to_pylist():
+            found = [cache[c] for c in model.chunks(text or "")]
+            ids = b"".join([bos, *[f[0] for f in found], eos])
+            # the dummy space is the first byte of the first chunk
+            decoded = b"".join([f[1] for f in found])[1:]
+            count.append(len(ids) // 4)
+            left.append(hashlib.sha256(ids).hexdigest() if digests else list(struct.unpack(f"<{len(ids) // 4}I", ids)))
+            right.append(hashlib.sha256(decoded).hexdigest() if digests else decoded.decode())
+        kind = pa.string() if digests else pa.list_(pa.int32())
+        names = ["n_tokens", *(["ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"])]
+        return pa.RecordBatch.from_arrays([part.column(0), pa.array(count, pa.int64()), pa.array(left, kind), pa.array(right, pa.string())], [part.schema.names[0], *names])
 
     return run
 
