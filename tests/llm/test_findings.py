@@ -1,12 +1,13 @@
 """Cases that a review of the numbered operators found missing."""
 
 import random
+import time
 
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.llm import plain
-from tokenloom.llm import html, lattice, licenses, repeats
+from tokenloom.llm import html, lattice, licenses, minhash, repeats
 
 
 def test_hot_minimizer_spreads(spark, make):
@@ -75,3 +76,26 @@ def test_repeated_vectors(spark):
         four = (4, 2, 1, False) if least == base else (4, 0, 4, True)
         n = 2 if least == base else 1
         assert sorted(got, key=str) == sorted([(1, n, 1, True)] * 3 + [(2, n, 1, False)] + [(3, 0, 3, True)] * 2 + [four] * 2 + [(None, 0, None, False)] * 2, key=str)
+
+
+def test_work_on_one_text_is_linear():
+    """A megabyte of a repeated notice, and deep or unmatched tags."""
+    index = licenses.TemplateIndex(licenses.template_sets(licenses.TEMPLATES), {}, licenses.THRESHOLD)
+    own = licenses.words(b"This work is licensed under a Creative Commons Attribution 4.0 International License. " * 12_000)
+    began = time.time()
+    i = next(k for k, (_, t) in enumerate(index.templates) if t <= set(own) and b"work" in t)
+    assert index.window(i, own) >= licenses.THRESHOLD
+    part = licenses.words(b"Redistribution and use in source and binary forms, with or without modification, are permitted " * 10_000)
+    assert all(index.window(k, part) < 1 for k, (_, t) in enumerate(index.templates) if not t <= set(part))
+    pages = {"<b>x" * 25_000: "x" * 25_000, "<b>" * 50_000 + "</i>" * 50_000: "", "<div>x" * 25_000: "\n".join("x" * 25_000)}
+    for page, want in pages.items():
+        assert html.main_text(page) == want
+    assert time.time() - began < 60
+
+
+def test_repeated_near_copies_are_one_row_each(make):
+    """Two near copies, each standing two hundred times under its id."""
+    text = " ".join(f"word{i}" for i in range(200))
+    rows = [(1, text), (2, text + " end")] * 200 + [(3, "something else altogether, with five words")]
+    got = [(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(make(rows)).collect()]
+    assert len(got) == 401 and set(got) == {(1, 1, True), (2, 1, False), (3, 3, True)}

@@ -13,7 +13,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from math import e, log
 
 import pyarrow as pa
@@ -88,8 +89,15 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
     """Nodes in page order, the root first, and pieces of text with their node; a block break is a piece ''."""
     root = Node("", None)
     nodes, pieces, stack = [root], [], [root]
+    open_tags: Counter[str] = Counter()
     at, n = 0, len(page)
 
+    def close(k: int) -> None:
+        """Close the open nodes from place ``k`` on."""
+        for node in stack[k:]:
+            open_tags[node.tag] -= 1
+        del stack[k:]
+
     def text(upto: int) -> None:
         if upto > at:
             pieces.append((stack[-1], page[at:upto]))
@@ -114,9 +122,11 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
         at = m.end()
         tag = m[2].lower()
         if m[1]:  # an end tag closes up to its start; without one it is ignored
-            if any(s.tag == tag for s in stack[1:]):
-                while stack.pop().tag != tag:
-                    pass
+            if open_tags[tag] > 0:
+                k = len(stack) - 1
+                while stack[k].tag != tag:
+                    k -= 1
+                close(k)
             if tag in BLOCK:
                 pieces.append((stack[-1], ""))
             continue
@@ -125,7 +135,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
         if tag in _CLOSES_P:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == "p":
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k].tag in BLOCK:
                     break
@@ -135,7 +145,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
                 if stack[k].tag in limits:
                     break
                 if stack[k].tag == tag or (tag in ("dt", "dd") and stack[k].tag in ("dt", "dd")):
-                    del stack[k:]
+                    close(k)
                     break
         node = Node(tag, stack[-1])
         other, node.named = _is_other(tag, m[3], node.article)
@@ -154,21 +164,42 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
             stop = re.compile(f"</{re.escape(tag)}(?=[\\s/>])", re.IGNORECASE).search(page, at)
             at = stop.start() if stop else n
         stack.append(node)
+        open_tags[tag] += 1
     return nodes, pieces
 
 
+def _size(text: str) -> int:
+    return len("".join(text.split()))
+
+
+def _subtree_sums(nodes: list[Node], own: dict[int, int]) -> dict[int, int]:
+    """Sum of ``own`` (by identity) over each node and all below it; children come after their parents."""
+    total = dict(own)
+    for node in reversed(nodes):
+        if (got := total.get(id(node))) and node.parent is not None:
+            total[id(node.parent)] = total.get(id(node.parent), 0) + got
+    return total
+
+
+def _own(pairs: Iterable[tuple[Node, int]]) -> dict[int, int]:
+    out: dict[int, int] = {}
+    for node, n in pairs:
+        out[id(node)] = out.get(id(node), 0) + n
+    return out
+
+
 def _measure(nodes: list[Node], pieces: list[tuple[Node, str]]) -> None:
     """Characters, tags and densities of every node that may belong to the article."""
+    linked: set[int] = set()
+    for node in nodes:
+        if node.tag == "a" or id(node.parent) in linked:
+            linked.add(id(node))
     for node, text in pieces:
         if text and not node.dropped:
-            size = len("".join(text.split()))
+            size = _size(text)
             node.chars += size
-            up = node
-            while up is not None:
-                if up.tag == "a":
-                    node.link_chars += size
-                    break
-                up = up.parent
+            if id(node) in linked:
+                node.link_chars += size
     for node in reversed(nodes):
         up = node.parent
         if up is not None and not node.dropped:
@@ -241,7 +272,7 @@ def _headings(nodes: list[Node], chosen: set[int], scope: int | None) -> set[int
     for node in nodes:
         if id(node) in chosen:
             up = node.parent
-            while up is not None:
+            while up is not None and id(up) not in around:
                 around.add(id(up))
                 up = up.parent
     found: set[int] = set()
@@ -268,32 +299,22 @@ def _headings(nodes: list[Node], chosen: set[int], scope: int | None) -> set[int
 def main_text(page: str) -> str:
     """The article's blocks, one per line, with references decoded and white space made single."""
     nodes, pieces = parse(page)
-    size_of = lambda t: len("".join(t.split()))
-    total = sum(size_of(t) for x, t in pieces if t and not x.dropped)
-    for node, text in pieces:
-        up = node if text and not node.dropped else None
-        while up is not None:
-            if up.named:
-                up.held += size_of(text)
-            up = up.parent
+    total = sum(_size(t) for x, t in pieces if t and not x.dropped)
+    held = _subtree_sums(nodes, _own((x, _size(t)) for x, t in pieces if t and not x.dropped))
+    for node in nodes:
+        if node.named:
+            node.held = held.get(id(node), 0)
     parts = [node for node in nodes if node.tag in ("article", "main") and not node.dropped]
-    for node in parts:
-        up = node.parent
-        while up is not None:
-            up.parts += 1
-            up = up.parent
+    below = _subtree_sums(nodes, _own((node.parent, 1) for node in parts))
+    for node in nodes:
+        node.parts = below.get(id(node), 0)
     for node in nodes[1:]:
         # a name as of a side part is that of a layout on an element that holds most of the page and all its articles
         side = node.named and (2 * node.held < total or node.parts < len(parts) or node.tag in ("article", "p"))
         node.dropped = node.dropped or node.parent.dropped or side
-    total = sum(size_of(t) for x, t in pieces if t and not x.dropped) or 1
-    forms = {}
-    for node, text in pieces:  # a form that wraps most of the page is layout; any other is none of the article
-        up = node
-        while text and up is not None:
-            if up.tag == "form":
-                forms[id(up)] = forms.get(id(up), 0) + size_of(text)
-            up = up.parent
+    total = sum(_size(t) for x, t in pieces if t and not x.dropped) or 1
+    # a form that wraps most of the page is layout; any other is none of the article
+    forms = _subtree_sums(nodes, _own((x, _size(t)) for x, t in pieces if t))
     for node in nodes[1:]:
         node.dropped = node.dropped or node.parent.dropped or (node.tag == "form" and 2 * forms.get(id(node), 0) < total) or (node.tag == "header" and not node.heading)
     _measure(nodes, pieces)

@@ -138,6 +138,7 @@ class TemplateIndex:
         inside: Counter[bytes] = Counter()
         held = left = 0
         best = 0.0
+        there = len(t.intersection(own))  # no window holds more of the template
         for right, word in enumerate(own):
             inside[word] += 1
             held += word in t and inside[word] == 1
@@ -155,17 +156,19 @@ class TemplateIndex:
                 continue
             if any(len(o & inside.keys()) >= n for o, n in wider):
                 continue
-            best = max(best, self._grown(i, own, left, right, most, wider))
+            best = max(best, self._grown(i, own, left, right, most, wider, there))
+            if best == there / len(t):
+                break
         return best
 
-    def _grown(self, i: int, own: list[bytes], left: int, right: int, most: int | None, wider: list) -> float:
+    def _grown(self, i: int, own: list[bytes], left: int, right: int, most: int | None, wider: list, there: int) -> float:
         """Containment when the window takes in neighbouring words, the right ones first, as long as it stays allowed."""
         t, seen = self.templates[i][1], set(own[left : right + 1])
         limit = most if most is not None else PARAGRAPH_RATIO * len(t)
         for steps in (range(right + 1, len(own)), range(left - 1, -1, -1)):
             for k in steps:
                 grown = seen | {own[k]}
-                if len(t & seen) == len(t) or len(grown) > limit or any(len(o & grown) >= n for o, n in wider):
+                if len(t & seen) == there or len(grown) > limit or any(len(o & grown) >= n for o, n in wider):
                     break
                 seen = grown
         return len(t & seen) / len(t)

@@ -192,12 +192,15 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT, id_column
     """``n_shingles, component_id, kept`` of each document, after its id.
 
     A null text, or one without words, has no shingles and is linked with nothing. Equal texts are linked. Ids are meant
-    to be unique: rows that share one count as one document in links. A row with a null id is linked with nothing, its
+    to be unique: rows that share one count as one document in links, equal ones as a single row. A row with a null id is linked with nothing, its
     component is null and it is not kept. An empty table gives an empty result; other columns are not read.
     """
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
     signed = staged(texts.mapInArrow(_sign, "id long, n long, k1 long, k2 long, bands array<long>, sig binary"), "minhash")
     known = signed.where("n > 0 AND id IS NOT NULL")
+    repeated = not known.groupBy("id").count().where("count > 1").isEmpty()
+    if repeated:  # equal rows under one id, or every join by id would multiply them
+        known = staged(known.dropDuplicates(["id", "n", "k1", "k2"]), "minhash")
     classes = known.groupBy("n", "k1", "k2").agg(F.min("id").alias("id"))
     reps = known.join(classes.select("id"), "id", "left_semi")
     banded = staged(reps.select("id", "n", F.explode("bands").alias("key")), "bands")
@@ -217,6 +220,8 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT, id_column
     crowd = banded.join(wide, "key").select("key", "size", "id")
     needed = stars.select(F.col("a").alias("id")).union(stars.select("b")).union(crowd.select("id")).distinct()
     sets = staged(texts.join(needed, "id").mapInArrow(_full_sets, "id long, shingles binary"), "sets")
+    if repeated:
+        sets = staged(sets.dropDuplicates(["id", "shingles"]), "sets")
     sigs = known.select("id", "sig", "bands")
     rich = staged(sets.join(sigs, "id"), "rich")
 
