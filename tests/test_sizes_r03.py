@@ -4,7 +4,9 @@ import math
 import random
 
 import pandas as pd
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from tokenloom.catalog.streaming_queries import WAVES, waves
 from tokenloom.operators import packing as K
@@ -87,3 +89,12 @@ def test_a_key_calls_the_state_store_once_and_once_to_change_it():
     (out,) = running.handleInputRows(("=1",), iter([pd.DataFrame({"step": [3, 4], "val_loss": [9.0, 3.5], KEY: "=1"})]), None)
     assert out["best_before"].tolist() == [3.0, 3.0] and not out["saved"].any()
     assert running.held.calls == ["get", "update", "get"]
+
+
+def test_a_row_group_of_arrays_is_a_small_part_of_a_task(spark):
+    """A reader decodes a whole group of every column, a writer holds one: long rows must not add up to much."""
+    df = staged(spark.range(1000, numPartitions=1).select(F.array_repeat(F.col("id"), 500).alias("a")))
+    (path,) = (f.removeprefix("file:") for f in df.inputFiles())
+    meta = pq.ParquetFile(path).metadata
+    assert max(meta.row_group(i).num_rows for i in range(meta.num_row_groups)) <= 128
+    assert df.count() == 1000
