@@ -7,12 +7,16 @@ from tokenloom.catalog.registry import query, r6, text
 from tokenloom.functions.rollout import clip_by_value, length_reward
 from tokenloom.functions.text import add_bos_eos, byte_tokenize, strip_text
 from tokenloom.operators import corpus as C
-from tokenloom.plans.staging import new_folder
+from tokenloom.plans.staging import MOVED_BY_TASKS, new_folder
 from tokenloom.sources import shards as S
 
 STORIES_PER_FILE = 64
 
 
+#: Files of waves are read as a whole; others stay as they are, as a reader may split them.
+COMPRESSED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+
+
 def write_story_files(spark, sf, wave=None, path=None):
     """JSON-array files of at most 64 stories, one folder per file, named by source and block; of one ``wave`` of three if named."""
     story = F.to_json(F.struct(F.col("text").alias("story"), F.col("source").alias("source")))
@@ -27,6 +31,7 @@ def write_story_files(spark, sf, wave=None, path=None):
         .agg(F.array_sort(F.collect_list(F.struct("doc_id", "story"))).alias("stories"))
         .select("file", F.concat(F.lit("["), F.array_join("stories.story", ","), F.lit("]")).alias("value"))
         .write.mode("append")
+        .options(**MOVED_BY_TASKS, **({} if wave is None else COMPRESSED))
         .partitionBy("file")
         .text(path)
     )
